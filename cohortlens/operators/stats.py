@@ -13,15 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HUNDRED = F.lit(100.0)  # double, never decimal: see percent()
-
-
 def percent(part: str | Column, whole: str | Column) -> Column:
     """``100 * part / whole`` in double arithmetic (a decimal literal would give a
     decimal(30,6) that rounds twice)."""
     p = F.col(part) if isinstance(part, str) else part
     w = F.col(whole) if isinstance(whole, str) else whole
-    return HUNDRED * p / w
+    return F.lit(100.0) * p / w
 
 
 def _cols(cols: str | Sequence[str]) -> list[str]:
