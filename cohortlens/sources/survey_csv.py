@@ -17,14 +17,16 @@ tables, and to hand the panel to tools that expect the published files).
 
 from __future__ import annotations
 
+import csv as pycsv
 import hashlib
 import threading
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cohortlens.functions.text import na_to_null, to_number
+from cohortlens.functions.text import na_to_null_all, to_number
 from cohortlens.schema import (
     COLUMN_MAP, NUMERIC_COLUMNS, YEARS, canonical_type, responses_schema, source_columns,
 )
@@ -44,10 +46,51 @@ def year_path(data_dir: str, year: int) -> str:
     return f"{data_dir.rstrip('/')}/{FILE_TEMPLATE.format(year=year)}"
 
 
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """First line of the first data file under ``path``, read through the Hadoop
+    FileSystem API (no Spark job); falls back to a one-row text scan."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(conf)
+        if fs.getFileStatus(root).isDirectory():
+            files = sorted(
+                (st.getPath() for st in fs.listStatus(root)
+                 if st.isFile() and not st.getPath().getName().startswith(("_", "."))),
+                key=lambda q: q.getName())
+        else:
+            files = [root]
+        for f in files:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(f), "UTF-8"))
+            try:
+                line = reader.readLine()
+            finally:
+                reader.close()
+            if line is not None:
+                return line
+        return None
+    except Exception:  # noqa: BLE001  (no JVM handle, e.g. a remote session)
+        row = spark.read.text(path).first()
+        return None if row is None else row[0]
+
+
+def header_columns(spark: SparkSession, path: str) -> list[str]:
+    """Column names from the header line, so the scan gets an explicit all-text schema
+    instead of a schema-inference pass over the files."""
+    line = _first_line(spark, path)
+    if line is None:
+        raise ValueError(f"empty survey file: {path}")
+    return next(pycsv.reader([line.lstrip("\ufeff")]))
+
+
 def read_year(spark: SparkSession, data_dir: str, year: int) -> DataFrame:
     """One year's file, every column as text, missing-value tokens as NULL."""
-    raw = spark.read.options(**CSV_READ_OPTIONS).csv(year_path(data_dir, year))
-    return raw.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    path = year_path(data_dir, year)
+    names = header_columns(spark, path)
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    raw = spark.read.options(**CSV_READ_OPTIONS).schema(schema).csv(path)
+    return na_to_null_all(raw)
 
 
 def harmonise(raw: DataFrame, year: int, column_map: dict = COLUMN_MAP) -> DataFrame:
