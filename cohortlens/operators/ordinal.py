@@ -29,13 +29,6 @@ from pyspark.sql import functions as F
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = left["_pid"] == right["_pid"]
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
-
-
 def _range_partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
         return partitions
@@ -74,8 +67,7 @@ def with_positions(df: DataFrame, group: Sequence[str], order: Sequence[Column |
         cond = cond & rows[g].eqNullSafe(b[f"_b_{g}"])
     joined = rows.join(b, cond)
     pos = F.col("_before") + (F.col("_rid") - F.col("_first"))
-    keep = [c for c in df.columns]
-    return joined.select(*keep, pos.alias("_pos"), F.col("_n"))
+    return joined.select(*df.columns, pos.alias("_pos"), F.col("_n"))
 
 
 def ntile_bucket(pos: Column, n: Column, k: int) -> Column:
@@ -102,6 +94,16 @@ def ntile(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k:
     return ranked.withColumn(name, ntile_bucket(F.col("_pos"), F.col("_n"), k)).drop("_pos", "_n")
 
 
+def percentile_from_positions(p: float, value: str = "salary", pos: str = "_pos", n: str = "_n") -> Column:
+    """Aggregate expression: continuous percentile ``p`` of ``value`` over rows that
+    carry their position (``with_positions``), grouped by the same keys."""
+    at = (F.col(n) - 1) * F.lit(float(p))
+    lo = F.max(F.when(F.col(pos) == F.floor(at), F.col(value)))
+    hi = F.max(F.when(F.col(pos) == F.ceil(at), F.col(value)))
+    frac = F.max(at - F.floor(at))
+    return lo + (hi - lo) * frac
+
+
 def _tag(p: float, side: str) -> str:
     return f"{side}{p!r}"
 
@@ -132,17 +134,15 @@ def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, probs: Se
                 hits.append(F.when(inside, F.struct(F.lit(_tag(p, side)).alias("tag"),
                                                     (F.col("_first") + pos - F.col("_before")).alias("rid"))))
         targets = (
-            blocks.select(F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("t"))
-            .select(F.col("t.tag").alias("_tag"), F.col("t.rid").alias("_rid"))
+            blocks.select("_n", F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("t"))
+            .select(F.col("t.tag").alias("_tag"), F.col("t.rid").alias("_rid"), "_n")
         )
-        picked = rows.join(targets, "_rid")
-        sizes = blocks.groupBy(*group).agg(F.max("_n").alias("_n"))
-        vals = picked.groupBy(*group).agg(*[
+        # every group has targets (positions 0..n-1 all fall in some block), so the
+        # picked rows carry each group's size too: one pass over the blocks
+        out = rows.join(targets, "_rid").groupBy(*group).agg(F.max("_n").alias("_n"), *[
             F.max(F.when(F.col("_tag") == _tag(p, side), F.col(value))).alias(_tag(p, side).replace(".", "_"))
             for p in probs for side in ("lo", "hi")
         ])
-        out = sizes.join(vals, [sizes[g].eqNullSafe(vals[g]) for g in group]).select(
-            *[sizes[g] for g in group], "_n", *[vals[c] for c in vals.columns if c not in group])
         cols = []
         for p in probs:
             lo, hi = F.col(_tag(p, "lo").replace(".", "_")), F.col(_tag(p, "hi").replace(".", "_"))

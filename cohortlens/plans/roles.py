@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.rules import non_blank
-from cohortlens.operators.ordinal import ntile
+from cohortlens.operators.ordinal import ntile, ntile_bucket, percentile_from_positions, with_positions
 from cohortlens.operators.stats import percent, period_delta, rank_within
 from cohortlens.plans.salary import percentile_stats, salaried
 
@@ -40,14 +40,26 @@ def role_spread(clean: DataFrame, min_n: int = 100, ntile_method: str = "range")
     """Deciles (NTILE(10)) within (year, role): the top of decile 1, the bottom of
     decile 9, their ratio and its rank per year; median for reference."""
     rows = _paid_roles(clean).select(YEAR, ROLE, "response_id", "salary")
-    dec = ntile(rows, [YEAR, ROLE], ["salary", "response_id"], 10, "decile", method=ntile_method)
-    bounds = dec.groupBy(YEAR, ROLE).agg(
-        F.count(F.lit(1)).alias("total_n"),
-        F.max(F.when(F.col("decile") == 1, F.col("salary"))).alias("d1_ceiling"),
-        F.min(F.when(F.col("decile") == 9, F.col("salary"))).alias("d9_floor"),
-    ).where(F.col("total_n") >= min_n)
-    med = percentile_stats(rows, [YEAR, ROLE], probs=(0.5,), names=("median_salary",), n_name="_n2")
-    out = bounds.join(med, [YEAR, ROLE]).withColumn(
+    if ntile_method == "window":
+        dec = ntile(rows, [YEAR, ROLE], ["salary", "response_id"], 10, "decile", method="window")
+        med = percentile_stats(rows, [YEAR, ROLE], probs=(0.5,), names=("median_salary",), n_name="_n2")
+        bounds = dec.groupBy(YEAR, ROLE).agg(
+            F.count(F.lit(1)).alias("total_n"),
+            F.max(F.when(F.col("decile") == 1, F.col("salary"))).alias("d1_ceiling"),
+            F.min(F.when(F.col("decile") == 9, F.col("salary"))).alias("d9_floor"),
+        ).join(med, [YEAR, ROLE])
+    else:
+        # one range sort serves both the deciles and the median: the median is read off
+        # the same positions (ties in salary hold equal values, so the tie key is moot)
+        ranked = with_positions(rows, [YEAR, ROLE], ["salary", "response_id"]).withColumn(
+            "decile", ntile_bucket(F.col("_pos"), F.col("_n"), 10))
+        bounds = ranked.groupBy(YEAR, ROLE).agg(
+            F.count(F.lit(1)).alias("total_n"),
+            F.max(F.when(F.col("decile") == 1, F.col("salary"))).alias("d1_ceiling"),
+            F.min(F.when(F.col("decile") == 9, F.col("salary"))).alias("d9_floor"),
+            F.round(F.round(percentile_from_positions(0.5), 6)).alias("median_salary"),
+        )
+    out = bounds.where(F.col("total_n") >= min_n).withColumn(
         "_ratio", F.col("d9_floor") / F.nullif(F.col("d1_ceiling"), F.lit(0.0)))
     out = rank_within(out, YEAR, "_ratio", "rank_by_spread")
     return out.select(YEAR, ROLE, "total_n", "d1_ceiling", "median_salary", "d9_floor",

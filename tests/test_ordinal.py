@@ -88,3 +88,15 @@ def test_range_plan_has_no_single_partition_window_on_rows(spark):
     plan = ntile(df, ["g"], ["v", "rid"], 4, "t")._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" in plan.lower()
     assert "ntile" not in plan.lower()
+
+
+def test_job_methods_agree(spark):
+    from cohortlens.plans import roles, salary
+    from cohortlens.sources.store import store
+    s = store(spark, "/root/testdata/sf0.001")
+    a = sorted(tuple(r) for r in roles.role_spread(s.clean(), min_n=5).collect())
+    b = sorted(tuple(r) for r in roles.role_spread(s.clean(), min_n=5, ntile_method="window").collect())
+    assert a == b and len(a) > 0
+    a = sorted(tuple(r) for r in salary.salary_quartile_mix(s.clean(), min_n=5).collect())
+    b = sorted(tuple(r) for r in salary.salary_quartile_mix(s.clean(), min_n=5, ntile_method="window").collect())
+    assert a == b and len(a) > 0
