@@ -80,6 +80,14 @@ class PanelStore:
     def db_exploded(self) -> DataFrame:
         return self.table("db_exploded")
 
+    def register_views(self) -> list[str]:
+        """Register the four tables as temp views under their own names, so SQL text
+        (``spark.sql``) can read them like the database tables they replace."""
+        names = ["responses", "responses_clean", "lang_exploded", "db_exploded"]
+        for name in names:
+            self.table(name).createOrReplaceTempView(name)
+        return names
+
 
 def store(spark: SparkSession, sf_dir: str) -> PanelStore:
     return PanelStore(spark, sf_dir)
