@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.rules import non_blank
 from cohortlens.operators.stats import gap_to_baseline, percent, period_delta, rank_within, share_of
-from cohortlens.plans.salary import percentile_stats, salaried
+from cohortlens.operators.distribution import percentile_stats
+from cohortlens.plans.salary import salaried
 
 YEAR = "survey_year"
 WORKING = ("Employed FT", "Self-employed")

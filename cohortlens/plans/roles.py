@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.rules import non_blank
-from cohortlens.operators.ordinal import ntile, ntile_bucket, percentile_from_positions, with_positions
+from cohortlens.operators.distribution import cohort_median_gap, ntile_bounds, percentile_stats
+from cohortlens.operators.ordinal import ntile
 from cohortlens.operators.stats import percent, period_delta, rank_within
-from cohortlens.plans.salary import percentile_stats, salaried
+from cohortlens.plans.salary import salaried
 
 YEAR = "survey_year"
 ROLE = "dev_type_primary"
@@ -49,16 +50,9 @@ def role_spread(clean: DataFrame, min_n: int = 100, ntile_method: str = "range")
             F.min(F.when(F.col("decile") == 9, F.col("salary"))).alias("d9_floor"),
         ).join(med, [YEAR, ROLE])
     else:
-        # one range sort serves both the deciles and the median: the median is read off
-        # the same positions (ties in salary hold equal values, so the tie key is moot)
-        ranked = with_positions(rows, [YEAR, ROLE], ["salary", "response_id"]).withColumn(
-            "decile", ntile_bucket(F.col("_pos"), F.col("_n"), 10))
-        bounds = ranked.groupBy(YEAR, ROLE).agg(
-            F.count(F.lit(1)).alias("total_n"),
-            F.max(F.when(F.col("decile") == 1, F.col("salary"))).alias("d1_ceiling"),
-            F.min(F.when(F.col("decile") == 9, F.col("salary"))).alias("d9_floor"),
-            F.round(F.round(percentile_from_positions(0.5), 6)).alias("median_salary"),
-        )
+        # one range sort serves both the deciles and the median
+        bounds = ntile_bounds(rows, [YEAR, ROLE], ["salary", "response_id"], "salary", 10,
+                              ceiling_of=1, floor_of=9)
     out = bounds.where(F.col("total_n") >= min_n).withColumn(
         "_ratio", F.col("d9_floor") / F.nullif(F.col("d1_ceiling"), F.lit(0.0)))
     out = rank_within(out, YEAR, "_ratio", "rank_by_spread")
@@ -77,16 +71,12 @@ def ai_salary(clean: DataFrame, min_n: int = 100, first_year: int = 2023) -> Dat
         F.round(percent(F.sum(F.when(F.col("ai_user"), 1).otherwise(0)), F.count(F.lit(1))), 1)
         .alias("pct_ai_users"),
     ).where(F.col("total_n") >= min_n)
-    cohorts = percentile_stats(rows, [YEAR, ROLE, "ai_user"], probs=(0.5,), names=("median",), n_name="_n")
-    medians = cohorts.groupBy(YEAR, ROLE).agg(
-        F.max(F.when(F.col("ai_user"), F.col("median"))).alias("median_salary_ai_users"),
-        F.max(F.when(~F.col("ai_user"), F.col("median"))).alias("median_salary_non_ai"),
-    )
+    medians = cohort_median_gap(rows, [YEAR, ROLE], "ai_user", "salary")
     out = adoption.join(medians, [YEAR, ROLE], "left")
     out = rank_within(out, YEAR, "pct_ai_users", "rank_by_ai_adoption")
     return out.select(
         YEAR, ROLE, "total_n", "pct_ai_users", "median_salary_ai_users", "median_salary_non_ai",
-        F.round(F.col("median_salary_ai_users") - F.col("median_salary_non_ai")).alias("ai_salary_premium"),
+        "ai_salary_premium",
         "rank_by_ai_adoption",
     ).orderBy(YEAR, F.col("pct_ai_users").desc())
 

@@ -14,13 +14,10 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.rules import non_blank
 from cohortlens.operators.cleaning import bracket_order
-from cohortlens.operators.ordinal import exact_percentiles, ntile
-from cohortlens.operators.stats import (
-    gap_to_baseline, percent, period_delta, rank_within, topk_keys, topk_semi,
-)
+from cohortlens.operators.distribution import ntile_mix, percentile_stats
+from cohortlens.operators.stats import gap_to_baseline, period_delta, rank_within, topk_keys, topk_semi
 
 YEAR = "survey_year"
-QUARTILES = (0.25, 0.5, 0.75)
 FULL_TIME = "Employed FT"
 
 
@@ -31,20 +28,6 @@ def salaried(clean: DataFrame) -> DataFrame:
     ).withColumnRenamed("salary_usd_yearly_clean", "salary")
 
 
-def percentile_stats(df: DataFrame, group: list[str], value: str = "salary",
-                     probs=QUARTILES, names=("p25", "median_salary", "p75"),
-                     min_n: int | None = None, n_name: str = "n", keep_raw: bool = False) -> DataFrame:
-    """Per group: row count, exact percentiles rounded to whole units, minimum-size gate.
-    ``keep_raw`` also returns the unrounded values as ``_raw_<name>``."""
-    q = exact_percentiles(df, group, value, probs, [f"_raw_{n}" for n in names])
-    if min_n is not None:
-        q = q.where(F.col("_n") >= min_n)
-    out = q.select(*group, F.col("_n").alias(n_name),
-                   *[F.round(F.col(f"_raw_{n}")).alias(n) for n in names],
-                   *([F.col(f"_raw_{n}") for n in names] if keep_raw else []))
-    return out
-
-
 def salary_country(clean: DataFrame, min_n: int = 100) -> DataFrame:
     """P25 / median / P75 / IQR per (year, country) with at least ``min_n`` salaries;
     rank by median within the year; previous row's median per country and the change."""
@@ -87,14 +70,9 @@ def salary_quartile_mix(clean: DataFrame, min_n: int = 50, first_year: int = 202
         .where(non_blank("dev_type_primary", trimmed=False) & (F.col(YEAR) >= first_year))
         .select(YEAR, "response_id", "dev_type_primary", "salary")
     )
-    quart = ntile(rows, [YEAR], ["salary", "response_id"], 4, "salary_quartile", method=ntile_method)
-    mix = quart.groupBy(YEAR, "dev_type_primary").agg(
-        F.count(F.lit(1)).alias("total_n"),
-        F.round(percent(F.sum(F.when(F.col("salary_quartile") == 4, 1).otherwise(0)), F.count(F.lit(1))), 1)
-        .alias("pct_in_top_quartile"),
-        F.round(percent(F.sum(F.when(F.col("salary_quartile") == 1, 1).otherwise(0)), F.count(F.lit(1))), 1)
-        .alias("pct_in_bottom_quartile"),
-    ).where(F.col("total_n") >= min_n)
+    mix = ntile_mix(rows, [YEAR], ["salary", "response_id"], 4, [YEAR, "dev_type_primary"],
+                    {"pct_in_top_quartile": 4, "pct_in_bottom_quartile": 1}, method=ntile_method,
+                    ).where(F.col("total_n") >= min_n)
     med = percentile_stats(rows, [YEAR, "dev_type_primary"], probs=(0.5,), names=("median_salary",),
                            n_name="_n2")
     out = mix.join(med, [YEAR, "dev_type_primary"])

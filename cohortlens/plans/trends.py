@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.rules import non_blank
@@ -32,14 +32,15 @@ def lang_trend(clean: DataFrame, lang_exploded: DataFrame, min_pct: float = 5.0,
     trend = period_delta(rates, "language", YEAR, "adoption_pct", 2,
                          prev_name="prev_year_pct", delta_name="yoy_change_pp",
                          next_name="next_year_pct")
-    trend = rank_within(trend, YEAR, "adoption_pct", "rank_in_year")
-    steady = (
-        rates.where(F.col("adoption_pct") >= min_pct)
-        .groupBy("language").agg(F.countDistinct(YEAR).alias("_years"))
-        .where(F.col("_years") >= min_years).select("language")
-    )
+    # (year, language) is unique here, so "distinct years at or above min_pct" is a
+    # conditional count over the language's rows: a window on the same partitioning as
+    # LAG/LEAD instead of a second aggregation and a semi join.  The rank is taken over
+    # all languages before the filter.
+    strong_years = F.sum(F.when(F.col("adoption_pct") >= min_pct, 1).otherwise(0)).over(
+        Window.partitionBy("language"))
+    trend = rank_within(trend.withColumn("_strong_years", strong_years), YEAR, "adoption_pct", "rank_in_year")
     return (
-        trend.join(steady, "language", "left_semi")
+        trend.where(F.col("_strong_years") >= min_years)
         .select(YEAR, "language", "user_count", "adoption_pct", "prev_year_pct",
                 "yoy_change_pp", "next_year_pct", "rank_in_year")
         .orderBy("language", YEAR)
