@@ -1 +1,7 @@
-"""streaming."""
+"""Streaming: intentionally empty.
+
+The reference is batch only: no stream source, watermark, windowed state or late-data
+handling appears in it, so there is nothing to re-express with Structured Streaming.
+New survey years arrive as whole files; re-running ``python -m cohortlens ingest`` is a
+full-refresh overwrite of the tables, which is the reference's own model.
+"""
