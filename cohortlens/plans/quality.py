@@ -25,12 +25,19 @@ def clean_row_count(clean: DataFrame) -> DataFrame:
 
 
 def row_reconcile(responses: DataFrame, clean: DataFrame) -> DataFrame:
-    """Raw rows per year against matching cleaned rows (a key repeated on both sides
-    fans out, as a join does).  Sort-merge join on the composite key; AQE splits skew."""
-    right = clean.select("response_id", YEAR, F.lit(1).alias("_matched"))
-    joined = responses.select("response_id", YEAR).join(right, ["response_id", YEAR], "left")
+    """Raw rows per year against matching cleaned rows, with LEFT JOIN semantics (a key
+    repeated on both sides fans out).  Both sides are first counted per key, so the join
+    carries one row per key and side: a key held by a large share of rows neither
+    multiplies rows nor lands its rows in one task.  raw = sum(l * max(r, 1)),
+    clean = sum(l * r); a NULL key never matches, as in SQL."""
+    keys = ["response_id", YEAR]
+    left = responses.groupBy(*keys).agg(F.count(F.lit(1)).alias("_l"))
+    right = clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("_r"))
+    joined = left.join(right, keys, "left")
     return joined.groupBy(YEAR).agg(
-        F.count(F.lit(1)).alias("raw_rows"), F.count("_matched").alias("clean_rows")).orderBy(YEAR)
+        F.sum(F.col("_l") * F.coalesce(F.col("_r"), F.lit(1))).alias("raw_rows"),
+        F.sum(F.col("_l") * F.coalesce(F.col("_r"), F.lit(0))).alias("clean_rows"),
+    ).orderBy(YEAR)
 
 
 def outliers(clean: DataFrame) -> DataFrame:

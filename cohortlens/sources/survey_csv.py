@@ -93,6 +93,14 @@ def read_year(spark: SparkSession, data_dir: str, year: int) -> DataFrame:
     return na_to_null_all(raw)
 
 
+def scan_years(spark: SparkSession, data_dir: str, years=YEARS) -> DataFrame:
+    """Every year's file as scanned (text, source column names), tagged with its year and
+    stacked by name; a column absent from a year's file is NULL for that year."""
+    frames = [read_year(spark, data_dir, y).select(F.lit(y).cast("int").alias("survey_year"), "*")
+              for y in years]
+    return union_years(frames)
+
+
 def harmonise(raw: DataFrame, year: int, column_map: dict = COLUMN_MAP) -> DataFrame:
     """``survey_year`` + every canonical column: the year's source column renamed, or a
     typed NULL when the map has no source for the year or the file lacks it.  Extra

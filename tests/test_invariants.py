@@ -95,3 +95,13 @@ def test_distribution_operators(spark):
     assert (m.total_n, m.top, m.bottom) == (100, 25.0, 25.0)
     c = cohort_median_gap(df, ["g"], "flag", "salary").collect()[0]
     assert (c.median_salary_ai_users, c.median_salary_non_ai, c.ai_salary_premium) == (51.0, 50.0, 1.0)
+
+
+def test_reconcile_fans_out_like_a_join(spark):
+    left = spark.createDataFrame([(1, 2023), (1, 2023), (2, 2023), (None, 2023), (3, 2024)],
+                                 "response_id long, survey_year int")
+    right = spark.createDataFrame([(1, 2023), (1, 2023), (1, 2023), (None, 2023), (3, 2024)],
+                                  "response_id long, survey_year int")
+    got = {r.survey_year: (r.raw_rows, r.clean_rows) for r in quality.row_reconcile(left, right).collect()}
+    # id 1: 2 x 3 pairs; id 2 unmatched; NULL never matches
+    assert got == {2023: (8, 6), 2024: (1, 1)}
