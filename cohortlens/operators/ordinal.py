@@ -28,6 +28,30 @@ from pyspark.sql import functions as F
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
+# Inputs whose planned size is at most this many bytes may use the single-task forms
+# (a window per group / Spark's percentile map): then no group can be larger than the
+# whole input.  Set ``cohortlens.singleTaskBytes`` on the session to change it; 0
+# always uses the distributed forms.
+SINGLE_TASK_BYTES = 64 * 1024 * 1024
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (the figure Spark's own broadcast choice uses;
+    computed from file sizes and column widths, no job runs)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001  (no JVM handle, e.g. a remote session)
+        return None
+
+
+def choose_method(df: DataFrame, method: str) -> str:
+    """``'auto'`` -> ``'local'`` when the whole input is known to be small, else ``'range'``."""
+    if method != "auto":
+        return method
+    limit = int(df.sparkSession.conf.get("cohortlens.singleTaskBytes", str(SINGLE_TASK_BYTES)))
+    size = planned_bytes(df)
+    return "local" if size is not None and size <= limit else "range"
+
 
 def _range_partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
@@ -81,13 +105,15 @@ def ntile_bucket(pos: Column, n: Column, k: int) -> Column:
 
 
 def ntile(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int, name: str,
-          method: str = "range", partitions: int | None = None) -> DataFrame:
+          method: str = "auto", partitions: int | None = None) -> DataFrame:
     """``NTILE(k) OVER (PARTITION BY group ORDER BY order)`` as a new column.
 
-    ``method='range'`` (default) is the distributed form above; ``method='window'`` is
-    Spark's own window (one task per group), kept for small groups and for tests.
-    Give ``order`` a unique last key for a deterministic split of ties."""
-    if method == "window":
+    ``method='range'`` is the distributed form above; ``method='window'`` (alias
+    ``'local'``) is Spark's own window, one task per group; ``'auto'`` picks the window
+    only for inputs planned below ``SINGLE_TASK_BYTES``.  Give ``order`` a unique last
+    key for a deterministic split of ties."""
+    method = choose_method(df, method)
+    if method in ("window", "local"):
         w = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(name, F.ntile(k).over(w))
     ranked = with_positions(df, group, order, partitions)
@@ -109,17 +135,19 @@ def _tag(p: float, side: str) -> str:
 
 
 def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
-                      names: Sequence[str], stabilise: int | None = 6, method: str = "range",
+                      names: Sequence[str], stabilise: int | None = 6, method: str = "auto",
                       partitions: int | None = None) -> DataFrame:
     """One row per group: ``_n`` (non-NULL count) and continuous percentiles
     (linear interpolation between the order statistics at floor/ceil of (n-1)p).
 
     ``stabilise`` rounds each percentile to that many decimals, so callers that round
     further see the exact value rather than last-bit interpolation noise.
-    ``method='builtin'`` uses Spark's ``percentile`` aggregate (per-group value map in
-    one task) instead of the distributed selection."""
+    ``method='builtin'`` (alias ``'local'``) uses Spark's ``percentile`` aggregate (a
+    per-group value map in one task) instead of the distributed selection; ``'auto'``
+    picks it only for inputs planned below ``SINGLE_TASK_BYTES``."""
     d = df.select(*group, value).where(F.col(value).isNotNull())
-    if method == "builtin":
+    method = choose_method(d, method)
+    if method in ("builtin", "local"):
         arr = F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs]))
         out = d.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), arr.alias("_q"))
         cols = [F.col("_q")[i] for i in range(len(probs))]

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.rules import non_blank
 from cohortlens.operators.distribution import cohort_median_gap, ntile_bounds, percentile_stats
-from cohortlens.operators.ordinal import ntile
 from cohortlens.operators.stats import percent, period_delta, rank_within
 from cohortlens.plans.salary import salaried
 
@@ -37,22 +36,12 @@ def role_rank_change(clean: DataFrame, min_n: int = 100) -> DataFrame:
     ).orderBy(YEAR, "salary_rank")
 
 
-def role_spread(clean: DataFrame, min_n: int = 100, ntile_method: str = "range") -> DataFrame:
+def role_spread(clean: DataFrame, min_n: int = 100, ntile_method: str = "auto") -> DataFrame:
     """Deciles (NTILE(10)) within (year, role): the top of decile 1, the bottom of
     decile 9, their ratio and its rank per year; median for reference."""
     rows = _paid_roles(clean).select(YEAR, ROLE, "response_id", "salary")
-    if ntile_method == "window":
-        dec = ntile(rows, [YEAR, ROLE], ["salary", "response_id"], 10, "decile", method="window")
-        med = percentile_stats(rows, [YEAR, ROLE], probs=(0.5,), names=("median_salary",), n_name="_n2")
-        bounds = dec.groupBy(YEAR, ROLE).agg(
-            F.count(F.lit(1)).alias("total_n"),
-            F.max(F.when(F.col("decile") == 1, F.col("salary"))).alias("d1_ceiling"),
-            F.min(F.when(F.col("decile") == 9, F.col("salary"))).alias("d9_floor"),
-        ).join(med, [YEAR, ROLE])
-    else:
-        # one range sort serves both the deciles and the median
-        bounds = ntile_bounds(rows, [YEAR, ROLE], ["salary", "response_id"], "salary", 10,
-                              ceiling_of=1, floor_of=9)
+    bounds = ntile_bounds(rows, [YEAR, ROLE], ["salary", "response_id"], "salary", 10,
+                          ceiling_of=1, floor_of=9, method=ntile_method)
     out = bounds.where(F.col("total_n") >= min_n).withColumn(
         "_ratio", F.col("d9_floor") / F.nullif(F.col("d1_ceiling"), F.lit(0.0)))
     out = rank_within(out, YEAR, "_ratio", "rank_by_spread")

@@ -61,7 +61,7 @@ def salary_experience(clean: DataFrame, min_country_n: int = 500, top_k: int = 1
 
 
 def salary_quartile_mix(clean: DataFrame, min_n: int = 50, first_year: int = 2023,
-                        ntile_method: str = "range") -> DataFrame:
+                        ntile_method: str = "auto") -> DataFrame:
     """Each respondent's salary quartile within the year (NTILE(4), ties split by
     response id), then per (year, role): count, median, % in the top and bottom
     quartile; roles with at least ``min_n``; rank by median."""

@@ -32,9 +32,9 @@ from cohortlens.schema import (
 )
 from cohortlens.session import checkpoint_root
 
+# The published files' name pattern, and how they spell out-of-range
+# experience answers.
 FILE_TEMPLATE = "survey_results_public_{year}.csv"
-
-# How the published files spell out-of-range experience answers.
 LESS_THAN_ONE = "Less than 1 year"
 MORE_THAN_FIFTY = "More than 50 years"
 EXPERIENCE_TEXT_COLUMNS = ("years_code", "years_code_pro")
