@@ -22,7 +22,7 @@ import hashlib
 import threading
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -197,29 +197,40 @@ def schema_profile(spark: SparkSession, data_dir: str, years=YEARS, sample_rows:
                    samples: int = 2) -> DataFrame:
     """One row per (year, source column): the file's column count, non-NULL cells over
     all rows, and up to ``samples`` non-NULL values among the ``sample_rows`` rows with
-    the smallest response id ('ALL NULL' when none)."""
-    frames = []
-    for y in years:
-        raw = read_year(spark, data_dir, y)
-        rid = to_number(F.col("ResponseId"))
-        head = raw.orderBy(rid.asc_nulls_last()).limit(sample_rows)
-        counts = raw.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(raw.columns)])
-        picks = head.withColumn("_rid", rid).agg(*[
-            F.slice(F.sort_array(F.collect_list(F.struct(F.col("_rid"), F.col(f"`{c}`").alias("v")))),
-                    1, sample_rows).alias(f"s{i}")
-            for i, c in enumerate(raw.columns)
-        ])
-        n = len(raw.columns)
-        count_pairs = ", ".join(f"{_sql_str(c)}, n{i}" for i, c in enumerate(raw.columns))
-        pick_pairs = ", ".join(f"{_sql_str(c)}, s{i}" for i, c in enumerate(raw.columns))
-        long = counts.selectExpr(f"stack({n}, {count_pairs}) AS (column_name, non_null)").join(
-            picks.selectExpr(f"stack({n}, {pick_pairs}) AS (column_name, sample)"), "column_name")
-        vals = F.filter(F.transform("sample", lambda s: s["v"]), lambda v: v.isNotNull())
-        frames.append(long.select(
-            F.lit(y).cast("int").alias("survey_year"),
-            F.lit(len(raw.columns)).alias("n_columns"),
-            "column_name", "non_null",
-            F.when(F.size(vals) == 0, F.lit("ALL NULL")).otherwise(
-                F.array_join(F.slice(vals, 1, samples), " | ")).alias("sample_values"),
-        ))
-    return union_years(frames)
+    the smallest response id ('ALL NULL' when none).
+
+    One scan of all files: non-NULL counts are one grouped aggregate; the sample rows
+    come from ``row_number() <= sample_rows`` per year, which Spark plans as a
+    map-side group limit, so no year is gathered into one task."""
+    layouts = {y: header_columns(spark, year_path(data_dir, y)) for y in years}
+    raw = scan_years(spark, data_dir, years)
+    cols = [c for c in raw.columns if c != "survey_year"]
+    counts = raw.groupBy("survey_year").agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)])
+    rid = to_number(F.col("ResponseId"))
+    first_rows = (
+        raw.withColumn("_rid", rid)
+        .withColumn("_rn", F.row_number().over(
+            Window.partitionBy("survey_year").orderBy(F.col("_rid").asc_nulls_last())))
+        .where(F.col("_rn") <= sample_rows)
+    )
+    picks = first_rows.groupBy("survey_year").agg(*[
+        F.sort_array(F.collect_list(F.struct(F.col("_rn"), F.col(f"`{c}`").alias("v")))).alias(f"s{i}")
+        for i, c in enumerate(cols)
+    ])
+    n = len(cols)
+    count_pairs = ", ".join(f"{_sql_str(c)}, n{i}" for i, c in enumerate(cols))
+    pick_pairs = ", ".join(f"{_sql_str(c)}, s{i}" for i, c in enumerate(cols))
+    long = counts.selectExpr("survey_year", f"stack({n}, {count_pairs}) AS (column_name, non_null)").join(
+        picks.selectExpr("survey_year", f"stack({n}, {pick_pairs}) AS (column_name, sample)"),
+        ["survey_year", "column_name"])
+    # keep each year's own columns (the union fills the others with NULL); the layout
+    # table has one row per header column, a bound known from the headers themselves
+    present = spark.createDataFrame(
+        [(y, c, len(cs)) for y, cs in layouts.items() for c in cs],
+        "survey_year int, column_name string, n_columns int")
+    vals = F.filter(F.transform("sample", lambda s: s["v"]), lambda v: v.isNotNull())
+    return long.join(F.broadcast(present), ["survey_year", "column_name"]).select(
+        "survey_year", "n_columns", "column_name", "non_null",
+        F.when(F.size(vals) == 0, F.lit("ALL NULL")).otherwise(
+            F.array_join(F.slice(vals, 1, samples), " | ")).alias("sample_values"),
+    )
