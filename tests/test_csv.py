@@ -1,6 +1,5 @@
 import tempfile
 
-from pyspark.sql import functions as F
 
 from cohortlens.schema import RESPONSE_COLUMNS
 from cohortlens.sources import survey_csv as csv

@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from cohortlens.operators.ordinal import exact_percentiles, ntile, with_positions
 

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from cohortlens.functions.text import na_to_null, to_number
 
