@@ -116,3 +116,25 @@ def test_auto_picks_by_planned_size(spark, tmp_path):
     finally:
         spark.conf.unset("cohortlens.singleTaskBytes")
     assert choose_method(df, "range") == "range"
+
+
+def _py_ntile(n, k):
+    """SQL NTILE over n rows: the first n mod k buckets get one extra row."""
+    q, r = divmod(n, k)
+    out = []
+    for b in range(1, k + 1):
+        out += [b] * (q + (1 if b <= r else 0))
+    return out[:n]
+
+
+def test_bucket_formula_matches_definition(spark):
+    from cohortlens.operators.ordinal import ntile_bucket
+    cases = [(n, k) for n in range(0, 60) for k in (1, 2, 3, 4, 7, 10)]
+    rows = [(n, k, pos) for n, k in cases for pos in range(n)]
+    df = spark.createDataFrame(rows, "n long, k int, pos long")
+    got = {}
+    for k in sorted({k for _, k in cases}):
+        for r in df.where(df.k == k).select("n", "pos", ntile_bucket(df.pos, df.n, k).alias("b")).collect():
+            got[(r.n, k, r.pos)] = r.b
+    for n, k in cases:
+        assert [got[(n, k, p)] for p in range(n)] == _py_ntile(n, k)
