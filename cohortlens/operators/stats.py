@@ -44,10 +44,28 @@ def adoption_rate(long: DataFrame, base: DataFrame, period: str, item: str, enti
 def share_of(df: DataFrame, group: Sequence[str], within: Sequence[str] = (), dp: int = 1,
              n_name: str = "n", pct_name: str = "pct") -> DataFrame:
     """Count per group and its percent of the ``within`` partition (or of the grand total
-    when ``within`` is empty).  The total is a window over the grouped rows."""
+    when ``within`` is empty).
+
+    The denominator is its own aggregate joined back, not an unpartitioned window, so
+    the grouped rows are never moved into one task: the grand total is one row and is
+    broadcast; per-partition totals are joined by key (AQE broadcasts them when small).
+    """
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias(n_name))
-    w = Window.partitionBy(*within) if within else Window.partitionBy()
-    return counts.withColumn(pct_name, F.round(percent(n_name, F.sum(n_name).over(w)), dp))
+    return with_total_share(counts, n_name, within, dp, pct_name)
+
+
+def with_total_share(counts: DataFrame, n_name: str, within: Sequence[str] = (), dp: int = 1,
+                     pct_name: str = "pct") -> DataFrame:
+    """Add ``pct_name`` = rounded percent of ``n_name`` in its ``within`` total."""
+    within = list(within)
+    if within:
+        totals = counts.groupBy(*within).agg(F.sum(n_name).alias("_total"))
+        joined = counts.join(totals, [counts[c].eqNullSafe(totals[c]) for c in within]).drop(
+            *[totals[c] for c in within])
+    else:
+        totals = counts.agg(F.sum(n_name).alias("_total"), F.lit(1).alias("_one"))
+        joined = counts.withColumn("_one", F.lit(1)).join(F.broadcast(totals), "_one").drop("_one")
+    return joined.withColumn(pct_name, F.round(percent(n_name, "_total"), dp)).drop("_total")
 
 
 def period_delta(df: DataFrame, entity: str | Sequence[str], period: str, value: str,

@@ -3,10 +3,10 @@ distributions, values no rule caught, proxy coverage, and the ingest sanity chec
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.operators.stats import percent, share_of, unmatched_values
+from cohortlens.operators.stats import percent, share_of, unmatched_values, with_total_share
 
 YEAR = "survey_year"
 
@@ -78,8 +78,7 @@ def experience_distribution(clean: DataFrame) -> DataFrame:
         F.round(F.avg("experience_years"), 1).alias("avg_yrs"),
         F.min("experience_years").alias("_min"),
     )
-    # grand total over the (five) bracket rows
-    agg = agg.withColumn("pct_total", F.round(percent("n", F.sum("n").over(Window.partitionBy())), 1))
+    agg = with_total_share(agg, "n", dp=1, pct_name="pct_total")
     return agg.orderBy(F.col("_min").asc_nulls_last()).select("exp_bracket", "n", "avg_yrs", "pct_total")
 
 
