@@ -53,10 +53,33 @@ def choose_method(df: DataFrame, method: str) -> str:
     return "local" if size is not None and size <= limit else "range"
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+MAX_RANGE_PARTITIONS = 1 << 17
+
+
+def _bytes(text: str) -> int:
+    t = text.strip().lower()
+    digits = t.rstrip("abcdefghijklmnopqrstuvwxyz")
+    unit = _UNITS[t[len(digits):]]
+    return int(digits) * unit if digits.isdigit() else int(float(digits) * unit)
+
+
 def _range_partitions(df: DataFrame, partitions: int | None) -> int:
+    """Partition count of the range sort.  AQE does not resize an exchange with an
+    explicit count, so it is sized here: the planned input size over AQE's advisory
+    partition size, never below ``spark.sql.shuffle.partitions``.  An input of unknown
+    size (planned at ``spark.sql.defaultSizeInBytes``) keeps the configured count."""
     if partitions:
         return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = df.sparkSession.conf
+    base = int(conf.get("spark.sql.shuffle.partitions"))
+    size = planned_bytes(df)
+    unknown = _bytes(conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
+    if size is None or size >= unknown:
+        return base
+    target = max(_bytes(conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")), 1)
+    return max(base, min(-(-size // target), MAX_RANGE_PARTITIONS))
 
 
 def sorted_blocks(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],

@@ -138,3 +138,18 @@ def test_bucket_formula_matches_definition(spark):
             got[(r.n, k, r.pos)] = r.b
     for n, k in cases:
         assert [got[(n, k, p)] for p in range(n)] == _py_ntile(n, k)
+
+
+def test_range_partition_count_follows_input_size(spark, tmp_path):
+    from cohortlens.operators.ordinal import _range_partitions, planned_bytes
+    frame(spark, {"a": 3000}).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert _range_partitions(df, None) == 8          # small input: the configured count
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1kb")
+    try:
+        n = _range_partitions(df, None)
+        assert n > 8 and n == -(-planned_bytes(df) // 1024)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert _range_partitions(frame(spark, {"a": 5}), None) == 8   # unknown size
+    assert _range_partitions(df, 3) == 3
