@@ -77,11 +77,15 @@ def ntile_bounds(df: DataFrame, group: Sequence[str], order: Sequence[str], valu
 def cohort_median_gap(df: DataFrame, group: Sequence[str], flag: str, value: str,
                       names: tuple[str, str] = ("median_salary_ai_users", "median_salary_non_ai"),
                       gap_name: str = "ai_salary_premium") -> DataFrame:
-    """Per group: exact median of ``value`` where ``flag`` is true, where it is false,
-    and their difference (NULL when either cohort is empty)."""
+    """Per group: the size of the whole group (``total_n``) and of its flagged cohort
+    (``flag_n``), the exact median of ``value`` where ``flag`` is true and where it is
+    false, and their difference (NULL when either cohort is empty).  Everything comes
+    from one per-cohort pass: sizes are summed from the cohort counts."""
     cohorts = percentile_stats(df, [*group, flag], value, probs=(0.5,), names=("_m",), n_name="_cn")
     on, off = names
     return cohorts.groupBy(*group).agg(
+        F.sum("_cn").cast("long").alias("total_n"),
+        F.sum(F.when(F.col(flag), F.col("_cn")).otherwise(0)).cast("long").alias("flag_n"),
         F.max(F.when(F.col(flag), F.col("_m"))).alias(on),
         F.max(F.when(~F.col(flag), F.col("_m"))).alias(off),
     ).withColumn(gap_name, F.round(F.col(on) - F.col(off)))

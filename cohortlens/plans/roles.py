@@ -55,13 +55,12 @@ def ai_salary(clean: DataFrame, min_n: int = 100, first_year: int = 2023) -> Dat
     the premium, and the rank by adoption."""
     rows = _paid_roles(clean).where((F.col(YEAR) >= first_year) & F.col("ai_user").isNotNull()).select(
         YEAR, ROLE, "ai_user", "salary")
-    adoption = rows.groupBy(YEAR, ROLE).agg(
-        F.count(F.lit(1)).alias("total_n"),
-        F.round(percent(F.sum(F.when(F.col("ai_user"), 1).otherwise(0)), F.count(F.lit(1))), 1)
-        .alias("pct_ai_users"),
-    ).where(F.col("total_n") >= min_n)
-    medians = cohort_median_gap(rows, [YEAR, ROLE], "ai_user", "salary")
-    out = adoption.join(medians, [YEAR, ROLE], "left")
+    # one pass over the rows: per-cohort sizes and medians, then sizes summed per role
+    out = (
+        cohort_median_gap(rows, [YEAR, ROLE], "ai_user", "salary")
+        .where(F.col("total_n") >= min_n)
+        .withColumn("pct_ai_users", F.round(percent("flag_n", "total_n"), 1))
+    )
     out = rank_within(out, YEAR, "pct_ai_users", "rank_by_ai_adoption")
     return out.select(
         YEAR, ROLE, "total_n", "pct_ai_users", "median_salary_ai_users", "median_salary_non_ai",

@@ -95,6 +95,7 @@ def test_distribution_operators(spark):
     assert (m.total_n, m.top, m.bottom) == (100, 25.0, 25.0)
     c = cohort_median_gap(df, ["g"], "flag", "salary").collect()[0]
     assert (c.median_salary_ai_users, c.median_salary_non_ai, c.ai_salary_premium) == (51.0, 50.0, 1.0)
+    assert (c.total_n, c.flag_n) == (100, 50)
 
 
 def test_reconcile_fans_out_like_a_join(spark):
