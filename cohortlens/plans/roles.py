@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.rules import non_blank
 from cohortlens.operators.distribution import cohort_median_gap, ntile_bounds, percentile_stats
-from cohortlens.operators.stats import percent, period_delta, rank_within
+from cohortlens.operators.stats import percent, period_delta, rank_within, share_of
 from cohortlens.plans.salary import salaried
 
 YEAR = "survey_year"
@@ -73,13 +73,9 @@ def role_headcount(clean: DataFrame, min_n: int = 100) -> DataFrame:
     """Share of each role among respondents naming a role, per year (denominator taken
     before the ``min_n`` gate), and its change against the role's previous row."""
     base = clean.where(non_blank(ROLE, trimmed=False))
-    totals = base.groupBy(YEAR).agg(F.count(F.lit(1)).alias("_year_total"))
-    counts = base.groupBy(YEAR, ROLE).agg(F.count(F.lit(1)).alias("n"))
-    out = (
-        counts.join(F.broadcast(totals), YEAR)
-        .withColumn("pct_of_year", F.round(percent("n", "_year_total"), 2))
-        .where(F.col("n") >= min_n)
-    )
+    # the year total is the sum of its role counts: one scan, share taken before the gate
+    out = share_of(base, [YEAR, ROLE], within=[YEAR], dp=2, pct_name="pct_of_year").where(
+        F.col("n") >= min_n)
     out = period_delta(out, ROLE, YEAR, "pct_of_year", 2, prev_name="prev_year_pct",
                        delta_name="yoy_share_change")
     return out.select(YEAR, ROLE, "n", "pct_of_year", "prev_year_pct", "yoy_share_change").orderBy(
