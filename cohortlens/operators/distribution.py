@@ -39,14 +39,20 @@ def _count() -> Column:
 
 def ntile_mix(df: DataFrame, bucket_group: Sequence[str], order: Sequence[str], k: int,
               report_group: Sequence[str], shares: dict[str, int], dp: int = 1,
-              method: str = "auto") -> DataFrame:
+              method: str = "auto", median_of: str | None = None) -> DataFrame:
     """Bucket rows by NTILE(k) within ``bucket_group``, then per ``report_group``: row
-    count and the percent of rows in each bucket named in ``shares`` (name -> bucket)."""
+    count and the percent of rows in each bucket named in ``shares`` (name -> bucket).
+    ``median_of`` adds that column's exact median (rounded) to the same aggregation,
+    through Spark's per-group percentile map: for inputs the size gate admits."""
     b = ntile(df, list(bucket_group), list(order), k, "_bucket", method=method)
+    extra = []
+    if median_of is not None:
+        extra.append(F.round(F.round(F.percentile(F.col(median_of), F.lit(0.5)), 6)).alias("median_salary"))
     return b.groupBy(*report_group).agg(
         _count().alias("total_n"),
         *[F.round(percent(F.sum(F.when(F.col("_bucket") == q, 1).otherwise(0)), _count()), dp).alias(name)
           for name, q in shares.items()],
+        *extra,
     )
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions.rules import non_blank
 from cohortlens.operators.cleaning import bracket_order
 from cohortlens.operators.distribution import ntile_mix, percentile_stats
+from cohortlens.operators.ordinal import choose_method
 from cohortlens.operators.stats import gap_to_baseline, period_delta, rank_within, topk_keys, topk_semi
 
 YEAR = "survey_year"
@@ -70,12 +71,20 @@ def salary_quartile_mix(clean: DataFrame, min_n: int = 50, first_year: int = 202
         .where(non_blank("dev_type_primary", trimmed=False) & (F.col(YEAR) >= first_year))
         .select(YEAR, "response_id", "dev_type_primary", "salary")
     )
-    mix = ntile_mix(rows, [YEAR], ["salary", "response_id"], 4, [YEAR, "dev_type_primary"],
-                    {"pct_in_top_quartile": 4, "pct_in_bottom_quartile": 1}, method=ntile_method,
-                    ).where(F.col("total_n") >= min_n)
-    med = percentile_stats(rows, [YEAR, "dev_type_primary"], probs=(0.5,), names=("median_salary",),
-                           n_name="_n2")
-    out = mix.join(med, [YEAR, "dev_type_primary"])
+    method = choose_method(rows, ntile_method)
+    shares = {"pct_in_top_quartile": 4, "pct_in_bottom_quartile": 1}
+    if method in ("local", "window"):
+        # small input: quartiles by window and the median in the same aggregation (one pass)
+        out = ntile_mix(rows, [YEAR], ["salary", "response_id"], 4, [YEAR, "dev_type_primary"], shares,
+                        method="window", median_of="salary")
+    else:
+        # the quartiles rank within the year, the median within (year, role): two sorts
+        mix = ntile_mix(rows, [YEAR], ["salary", "response_id"], 4, [YEAR, "dev_type_primary"], shares,
+                        method=method)
+        med = percentile_stats(rows, [YEAR, "dev_type_primary"], probs=(0.5,), names=("median_salary",),
+                               n_name="_n2", method=method)
+        out = mix.join(med, [YEAR, "dev_type_primary"])
+    out = out.where(F.col("total_n") >= min_n)
     out = rank_within(out, YEAR, "median_salary", "rank_by_median")
     return out.select(YEAR, "dev_type_primary", "total_n", "median_salary", "pct_in_top_quartile",
                       "pct_in_bottom_quartile", "rank_by_median").orderBy(YEAR, "rank_by_median")
