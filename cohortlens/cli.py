@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortlens.operators.cleaning import clean as clean_view
 from cohortlens.plans import quality, remote, roles, salary, trends
 from cohortlens.sources import survey_csv
-from cohortlens.sources.store import write_tables
+from cohortlens.sources.store import read_table, write_tables
 
 TABLES = ("responses", "responses_clean", "lang_exploded", "db_exploded")
 
@@ -31,7 +31,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        return read_table(self.spark, self.root, name)
 
 
 REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
@@ -66,7 +66,7 @@ REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
-def ingest(spark: SparkSession, data_dir: str, tables: str) -> dict[str, list[str]]:
+def ingest(spark: SparkSession, data_dir: str, tables: str) -> dict[str, tuple[str, ...]]:
     """Yearly files -> the four tables (full refresh)."""
     return write_tables(survey_csv.ingest(spark, data_dir), tables.rstrip("/"))
 

@@ -140,15 +140,22 @@ def derived_columns() -> dict[str, Column]:
     }
 
 
+DERIVED = (
+    "salary_usd_yearly_clean", "experience_years", "exp_bracket", "remote_work_clean",
+    "ed_level_clean", "employment_clean", "dev_type_primary", "org_size_order", "ai_user",
+)
+CLEAN_COLUMNS = ("response_id", "survey_year", "country", "age", *DERIVED, *PASS_THROUGH)
+
+
+def with_derived(responses: DataFrame) -> DataFrame:
+    """Every raw column plus the nine derived ones (the stored wide panel)."""
+    return responses.select("*", *[expr.alias(name) for name, expr in derived_columns().items()])
+
+
 def clean(responses: DataFrame) -> DataFrame:
     """``responses_clean``: keys, 9 derived columns, 20 raw pass-through columns.
     Drops currency, comp_total and comp_freq.  Never changes the row count."""
-    derived = derived_columns()
-    return responses.select(
-        "response_id", "survey_year", "country", "age",
-        *[expr.alias(name) for name, expr in derived.items()],
-        *PASS_THROUGH,
-    )
+    return with_derived(responses).select(*CLEAN_COLUMNS)
 
 
 def bracket_order(col: str | Column = "exp_bracket") -> Column:

@@ -2,9 +2,10 @@
 every audit and trend job.
 
 Tables (all partitioned by ``survey_year``, so year predicates prune directories):
-  responses       27 canonical columns, one row per respondent-year
-  responses_clean the cleaning view materialised (so predicates on derived columns
-                  such as ``employment_clean`` reach the parquet reader)
+  responses       27 canonical columns, one row per respondent-year   } projections of
+  responses_clean the cleaning view materialised (so predicates on     } one written
+                  derived columns such as ``employment_clean`` reach   } ``panel`` table
+                  the parquet reader)
   lang_exploded   (survey_year, response_id, language)
   db_exploded     (survey_year, response_id, database)
 
@@ -20,33 +21,51 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.operators.cleaning import clean
+from cohortlens.operators.cleaning import CLEAN_COLUMNS, with_derived
 from cohortlens.operators.explode import explode_multival
+from cohortlens.schema import RESPONSE_COLUMNS
 from cohortlens.session import checkpoint_root
 from cohortlens.sources.panel import survey_panel
 
 _lock = threading.Lock()
-_built: dict[tuple[str, str], tuple[str, dict[str, list[str]]]] = {}
+_built: dict[tuple[str, str], str] = {}
 
+EXPLODED_COLUMNS = {
+    "lang_exploded": ("survey_year", "response_id", "language"),
+    "db_exploded": ("survey_year", "response_id", "database"),
+}
 
-def write_tables(responses: DataFrame, out_dir: str) -> dict[str, list[str]]:
-    """Full-refresh write of the four tables derived from a ``responses`` frame.
-    ``responses`` is written first and the others are derived from the written copy,
-    so the source plan runs once.  Returns each table's column order (a partitioned
-    read puts ``survey_year`` last; readers restore the order)."""
+
+def table_columns(name: str) -> tuple[str, ...]:
+    if name == "responses":
+        return RESPONSE_COLUMNS
+    if name == "responses_clean":
+        return CLEAN_COLUMNS
+    return EXPLODED_COLUMNS[name]
+
+
+def write_tables(responses: DataFrame, out_dir: str) -> dict[str, tuple[str, ...]]:
+    """Full-refresh write of the ingest outputs derived from a ``responses`` frame.
+
+    ``panel`` holds every raw column plus the nine derived ones, written once;
+    ``responses`` and ``responses_clean`` are column projections of it (parquet reads
+    only the projected columns), so the raw rows are not stored twice.  The long
+    tables are derived from the written copy, so the source plan runs once.
+    Returns each table's column order."""
     spark = responses.sparkSession
-    columns = {"responses": responses.columns}
-    responses.write.mode("overwrite").partitionBy("survey_year").parquet(f"{out_dir}/responses")
-    stored = spark.read.parquet(f"{out_dir}/responses").select(*responses.columns)
-    derived = {
-        "responses_clean": clean(stored),
-        "lang_exploded": explode_multival(stored, "lang_worked", "language"),
-        "db_exploded": explode_multival(stored, "db_worked", "database"),
-    }
-    for name, frame in derived.items():
-        columns[name] = frame.columns
-        frame.write.mode("overwrite").partitionBy("survey_year").parquet(f"{out_dir}/{name}")
-    return columns
+    with_derived(responses).write.mode("overwrite").partitionBy("survey_year").parquet(f"{out_dir}/panel")
+    stored = spark.read.parquet(f"{out_dir}/panel")
+    explode_multival(stored, "lang_worked", "language").write.mode("overwrite").partitionBy(
+        "survey_year").parquet(f"{out_dir}/lang_exploded")
+    explode_multival(stored, "db_worked", "database").write.mode("overwrite").partitionBy(
+        "survey_year").parquet(f"{out_dir}/db_exploded")
+    return {n: table_columns(n) for n in ("responses", "responses_clean", *EXPLODED_COLUMNS)}
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One of the four tables from a folder written by ``write_tables``."""
+    folder = "panel" if name in ("responses", "responses_clean") else name
+    return spark.read.parquet(f"{root.rstrip('/')}/{folder}").select(*table_columns(name))
 
 
 class PanelStore:
@@ -57,16 +76,16 @@ class PanelStore:
         self.sf_dir = sf_dir.rstrip("/")
         key = (spark.sparkContext.applicationId, self.sf_dir)
         with _lock:
-            entry = _built.get(key)
-            if entry is None:
+            root = _built.get(key)
+            if root is None:
                 digest = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
                 root = f"{checkpoint_root(spark).rstrip('/')}/cohortlens-tables/{digest}"
-                entry = (root, write_tables(survey_panel(spark, self.sf_dir), root))
-                _built[key] = entry
-        self.root, self._columns = entry
+                write_tables(survey_panel(spark, self.sf_dir), root)
+                _built[key] = root
+        self.root = root
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}").select(*self._columns[name])
+        return read_table(self.spark, self.root, name)
 
     def responses(self) -> DataFrame:
         return self.table("responses")
