@@ -14,9 +14,13 @@ country).  Here the positions come from a global range sort instead:
    the number of the group's rows in earlier partitions and the group size;
 4. each row's position is block offset + (id - first id of its block).
 
-The range exchange has an explicit partition count, so AQE keeps its partitioning and
-both uses of it agree.  The join against the block table is left to AQE, which
-broadcasts it when its measured size is small.
+The range exchange has an explicit partition count (sized from the planned input
+bytes), so AQE keeps its partitioning and both uses of it agree.  The join against the
+block table is left to AQE, which broadcasts it when its measured size is small.
+
+``method='auto'`` (the default everywhere) uses the single-task forms (a window per
+group, Spark's ``percentile`` map) only when Catalyst plans the whole input below
+``SINGLE_TASK_BYTES``; both forms give the same exact results.
 """
 
 from __future__ import annotations

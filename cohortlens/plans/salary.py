@@ -1,8 +1,9 @@
 """Salary jobs: country percentiles, experience premium, role mix over quartiles.
 
-Percentiles are exact (``operators.ordinal.exact_percentiles``): rows are range-sorted
-across the cluster and only the order statistics each group needs are picked, so a
-country or year holding a large share of respondents is not gathered into one task.
+Percentiles are exact (``operators.ordinal.exact_percentiles``).  On large inputs rows
+are range-sorted across the cluster and only the order statistics each group needs
+are picked, so a country or year holding a large share of respondents is not gathered
+into one task; inputs planned below the size gate use Spark's own percentile.
 Predicates on the cleaned columns reach the parquet reader because the cleaning view is
 materialised by the ingest step.
 """
