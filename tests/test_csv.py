@@ -51,3 +51,29 @@ def test_profile_reports_all_null(spark, responses):
     assert rows["Employment"].sample_values == "Student, full-time"
     assert rows["Country"].sample_values == "UK"
     assert rows["DevType"].sample_values == "ALL NULL" and rows["DevType"].non_null == 0
+
+
+def test_hand_written_file_with_dirty_values(spark, tmp_path):
+    """A 2023 file as published: NA tokens, quoted empty, unquoted empty, a quoted
+    newline with doubled quotes, '5d' and 'Less than 1 year' in numeric columns, an
+    unknown column, and most mapped columns absent."""
+    text = (
+        'ResponseId,YearsCode,WorkExp,DevType,Country,Notes\n'
+        '1,5d,12,"Developer, back-end",UK,x\n'
+        '2,Less than 1 year,NA,"",Germany,"multi\nline ""quoted"""\n'
+        '3, 7 ,3.5,NA,,y\n'
+    )
+    folder = tmp_path / "survey_results_public_2023.csv"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text(text)
+    df = csv.ingest(spark, str(tmp_path), years=(2023,))
+    got = {r.response_id: r for r in df.collect()}
+    assert set(got) == {1, 2, 3}
+    assert (got[1].years_code, got[1].work_exp, got[1].dev_type, got[1].country) == (
+        None, 12.0, "Developer, back-end", "UK")
+    assert (got[2].years_code, got[2].work_exp, got[2].dev_type, got[2].country) == (None, None, None, "Germany")
+    assert (got[3].years_code, got[3].work_exp, got[3].dev_type, got[3].country) == (7.0, 3.5, None, None)
+    assert all(r.survey_year == 2023 and r.salary_usd_yearly is None and r.employment is None
+               for r in got.values())
+    raw = {r.ResponseId: r.Notes for r in csv.read_year(spark, str(tmp_path), 2023).collect()}
+    assert raw["2"] == 'multi\nline "quoted"'
