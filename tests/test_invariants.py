@@ -106,3 +106,20 @@ def test_reconcile_fans_out_like_a_join(spark):
     got = {r.survey_year: (r.raw_rows, r.clean_rows) for r in quality.row_reconcile(left, right).collect()}
     # id 1: 2 x 3 pairs; id 2 unmatched; NULL never matches
     assert got == {2023: (8, 6), 2024: (1, 1)}
+
+
+def test_adoption_rate_counts_distinct_entities(spark):
+    from cohortlens.operators.stats import adoption_rate
+    long = spark.createDataFrame([(2023, 1, "Go"), (2023, 1, "Go"), (2023, 2, "Go"), (2023, 2, "Rust"),
+                                  (2024, 3, "Go")], "y int, id long, lang string")
+    base = spark.createDataFrame([(2023, 1), (2023, 2), (2023, 4), (2024, 3)], "y int, id long")
+    got = {(r.y, r.lang): (r.user_count, r.total_respondents, r.adoption_pct)
+           for r in adoption_rate(long, base, "y", "lang", "id").collect()}
+    assert got == {(2023, "Go"): (2, 3, 66.67), (2023, "Rust"): (1, 3, 33.33), (2024, "Go"): (1, 1, 100.0)}
+
+
+def test_topk_semi_keeps_rows_of_top_keys_only(spark):
+    from cohortlens.operators.stats import topk_semi
+    df = spark.createDataFrame([(None, 1), ("a", 2), ("a", 3), ("b", 4)], "k string, v int")
+    keys = spark.createDataFrame([(None,), ("a",)], "k string")
+    assert sorted(r.v for r in topk_semi(df, "k", keys).collect()) == [2, 3]   # NULL never matches
