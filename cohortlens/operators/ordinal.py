@@ -14,8 +14,9 @@ country).  Here the positions come from a global range sort instead:
    the number of the group's rows in earlier partitions and the group size;
 4. each row's position is block offset + (id - first id of its block).
 
-The range exchange has an explicit partition count (sized from the planned input
-bytes), so AQE keeps its partitioning and both uses of it agree.  The join against the
+The numbered rows are checkpointed once, so every use sees the same partitions and
+ids.  The range exchange has an explicit partition count (sized from the planned input
+bytes), so AQE keeps it.  The join against the
 block table is left to AQE, which broadcasts it when its measured size is small.
 
 ``method='auto'`` (the default everywhere) uses the single-task forms (a window per
@@ -30,6 +31,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.session import checkpoint_root
+
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 # Inputs whose planned size is at most this many bytes may use the single-task forms
@@ -91,10 +94,17 @@ def sorted_blocks(df: DataFrame, group: Sequence[str], order: Sequence[Column |
     """(rows with ``_rid``/``_pid``, blocks with ``_first``/``_cnt``/``_before``/``_n``)."""
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     keys = [F.col(g).asc_nulls_first() for g in group] + [c.asc_nulls_first() for c in order_cols]
+    # The numbered rows are checkpointed (written to the session's checkpoint folder)
+    # before they are used twice.  Two uses that project different columns would plan
+    # two range exchanges, and the range partitioner seeds its boundary sample with the
+    # RDD id, so the two could split the data differently; a materialised copy also
+    # keeps ids stable if a task is re-run after an executor loss.
+    checkpoint_root(df.sparkSession)
     rows = (
         df.repartitionByRange(_range_partitions(df, partitions), *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_rid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
         .withColumn("_pid", F.shiftright("_rid", _ROW_BITS))
     )
     blocks = rows.groupBy("_pid", *group).agg(
