@@ -34,7 +34,7 @@ def stream(seed: int, n: int) -> np.ndarray:
 
 _BYTE = stream(1, 256)
 _BYTE[SPACE] = 0
-_POWER = np.ones(64, _U)
+_POWER = np.ones(1, _U)
 
 
 def _powers(n: int) -> np.ndarray:
