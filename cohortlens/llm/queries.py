@@ -74,3 +74,107 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return exact_topk(vectors, vectors.filter("id % 100 = 0"), k=10)
+
+
+@query("op2_source_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.llm.mixing import mix_digest, mix_sources
+
+    return mix_digest(mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_repeats=3))
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+k(no, kind, re, grp, least) AS (VALUES
+  (0, 'assign', '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+  (1, 'access', 'AKIA[A-Z0-9]+', 0, 20), (2, 'hex', '[0-9a-f]{24,}', 0, 24),
+  (3, 'token', '[A-Za-z0-9+/_=-]{20,}', 0, 20)),
+m AS (
+  SELECT doc_id, source, no, kind, least, string_split_regex(text, re) AS gap,
+         regexp_extract_all(text, re, 0) AS hit,
+         CASE grp WHEN 2 THEN regexp_extract_all(text, re, 2) ELSE regexp_extract_all(text, re, 0) END AS val
+  FROM d CROSS JOIN k
+), u AS (
+  SELECT doc_id, source, no, kind, least, unnest(generate_series(1, len(hit))) AS i, gap, hit, val FROM m
+), s AS (
+  SELECT doc_id, source, no, kind, least, val[i] AS v, CAST(len(hit[i]) AS BIGINT) AS n,
+         CAST(sum(len(gap[i])) OVER w + coalesce(sum(len(hit[i])) OVER (PARTITION BY doc_id, no ORDER BY i
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS b
+  FROM u WINDOW w AS (PARTITION BY doc_id, no ORDER BY i)
+), base AS (SELECT * FROM s WHERE no < 3 AND len(v) >= least),
+free AS (
+  SELECT * FROM s WHERE no = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
+    AND NOT EXISTS (SELECT 1 FROM base x WHERE x.doc_id = s.doc_id AND x.b < s.b + s.n AND s.b < x.b + x.n)
+), every AS (SELECT * FROM base UNION ALL SELECT * FROM free),
+own AS (SELECT v, count(DISTINCT source) <= 2 AS live FROM every GROUP BY v),
+told AS (SELECT every.*, live FROM every JOIN own USING (v)),
+f AS (
+  SELECT doc_id, count(*) FILTER (no = 0) AS a, count(*) FILTER (no = 1) AS c, count(*) FILTER (no = 2) AS h,
+         string_agg(kind || ':' || b || ':' || (b + n), ',' ORDER BY b, no) FILTER (no < 3) AS t,
+         string_agg(kind || ':' || b || ':' || (b + n), ',' ORDER BY b, no) FILTER (no < 3 OR live) AS spans,
+         count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example
+  FROM told GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex,
+       sha256(coalesce(t, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM d LEFT JOIN f USING (doc_id)
+"""
+
+
+@query("op6_secret_scan", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.llm.secrets import find_secrets, secret_digest
+
+    return secret_digest(find_secrets(table(spark, sf_dir, "documents")))
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM documents
+), t AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM d)
+), c AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM t),
+r AS (
+  SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words
+  FROM c CROSS JOIN (VALUES (0), (1), (2)) AS o(j) WHERE n > 1 GROUP BY doc_id
+), l AS (SELECT doc_id, unnest(lines) AS line FROM d),
+f AS (
+  SELECT doc_id, line, len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
+         regexp_matches(line, '[^\x20\x09-\x0D]') AND (
+           10 * len(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > len(line)
+           OR len(line) - len(replace(line, '!!', '')) >= 4
+           OR (len(string_split(trim(line, ' '), ' ')) >= 5
+               AND NOT regexp_matches(line, '[.!?:;…)"''”’»][\x20\x09-\x0D]*$'))
+           OR len(string_split_regex(line, '\||»| > ')) >= 3
+           OR regexp_matches(lower(line), 'all rights reserved|click here|cookie policy|enable javascript|licensed under|log in|privacy policy|released under|sign up|subscribe to|terms of service|terms of use')
+         ) AS bad
+  FROM l
+), g AS (
+  SELECT doc_id, sum(words) FILTER (bad) AS lost,
+         count(*) FILTER (words > 0) - count(DISTINCT line) FILTER (words > 0) AS n_dup_lines
+  FROM f GROUP BY doc_id
+), x AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(len(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, coalesce(lost, 0) AS lost
+  FROM d LEFT JOIN r USING (doc_id) LEFT JOIN g USING (doc_id)
+), y AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM x)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * lost <= 50 * n_words AS kept
+FROM y
+"""
+
+
+@query("op7_quality_rules", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.llm.quality_rules import clean_lines
+
+    return clean_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
