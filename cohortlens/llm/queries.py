@@ -178,3 +178,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return clean_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op3_suffix_array_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.llm.suffix_dedup import remove_repeats
+
+    cut = remove_repeats(table(spark, sf_dir, "documents"), length=200, keep_first=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.llm.substring_dedup import remove_later_repeats
+
+    cut = remove_later_repeats(table(spark, sf_dir, "documents"), window_words=20)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

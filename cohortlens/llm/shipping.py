@@ -36,17 +36,18 @@ def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
 
 
 def arrow_groups(df: DataFrame, keys: list[str], run: Callable[[pa.Table], Iterator[pa.RecordBatch]],
-                 schema: str) -> DataFrame:
-    """``run`` on the rows of each combination of ``keys`` (one table per group).
+                 schema: str, batch_rows: int = 1) -> DataFrame:
+    """``run`` on tables of whole groups of ``keys``: each table ends with the group that brings
+    it to ``batch_rows`` rows.
 
-    Groups are dealt by key and sorted, so a task streams them and holds one at a time; the
-    caller bounds the size of a group.  Far cheaper than one Python call per group and Arrow
-    stream when most groups are small.
+    Groups are dealt by key and sorted, so a task streams them; the caller bounds the size of
+    a group.  Far cheaper than one Python call and Arrow stream for each group.
     """
     import pyarrow.compute as pc
 
     def split(batches):
         rest: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -56,14 +57,18 @@ def arrow_groups(df: DataFrame, keys: list[str], run: Callable[[pa.Table], Itera
                 new = pc.not_equal(col.slice(1), col.slice(0, batch.num_rows - 1))
                 cut = new if cut is None else pc.or_(cut, new)
             edges = [0, *(i + 1 for i in pc.indices_nonzero(cut).to_pylist()), batch.num_rows]
-            if rest and any(rest[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in range(len(keys))):
-                yield from run(pa.Table.from_batches(rest).combine_chunks())
-                rest = []
+            new = bool(rest) and any(
+                rest[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in range(len(keys)))
+            from_, size_before = 0, size
             for i, j in zip(edges[:-1], edges[1:], strict=True):
-                if i:
-                    yield from run(pa.Table.from_batches(rest).combine_chunks())
-                    rest = []
-                rest.append(batch.slice(i, j - i))
+                if (i or new) and size_before + i - from_ >= batch_rows:
+                    if i > from_:
+                        rest.append(batch.slice(from_, i - from_))
+                    if rest:
+                        yield from run(pa.Table.from_batches(rest).combine_chunks())
+                    rest, from_, size_before = [], i, 0
+            rest.append(batch.slice(from_))
+            size = size_before + batch.num_rows - from_
         if rest:
             yield from run(pa.Table.from_batches(rest).combine_chunks())
 
