@@ -27,7 +27,7 @@ from cohortlens.llm.staging import staged
 _U = np.uint64
 _MASK = (1 << 20) - 1
 SEGMENT = 1 << 19
-GROUP_ROWS = 1024
+BATCH_ROWS, GROUP_ROWS = 1024, 1 << 14
 NO_ID = -(1 << 63)
 _X = 0xD1342543DE82EF95
 _BYTES = T.stream(11, 256)
@@ -189,14 +189,6 @@ class Windows:
         return tuple(T.mix64(_sums(x, place, place + length)) for x in (v, T.mix64(v ^ _U(_X))))
 
 
-def flagged_runs(windows: Windows, order: np.ndarray, same: np.ndarray, later_only: bool) -> np.ndarray:
-    """``order``: windows sorted by content, equal ones in text order; ``same``: equal to the one
-    before.  True where an equal window stands earlier, or (not ``later_only``) anywhere else."""
-    flag = np.zeros(len(order), bool)
-    flag[order] = same if later_only else same | np.r_[same[1:], False][:len(same)]
-    return flag
-
-
 def repeated_ranges(docs: DataFrame, unit: str, length: int, k: int, later_only: bool, compare) -> DataFrame:
     """(id, first, past): unit ranges made of windows that also start elsewhere in ``docs`` (id,
     text), or with ``later_only`` that also start earlier (by id, then place).
@@ -204,11 +196,12 @@ def repeated_ranges(docs: DataFrame, unit: str, length: int, k: int, later_only:
     ``compare(table) -> batches of (id, first, past)`` flags windows among spans of whole anchor
     groups.
     """
-    often = _anchors(docs, unit, length, k, True).groupBy("h").count().filter("count > 1").select("h")
+    # tables of their own, so that the joins below read two shuffles and hot anchors can be split
+    often = staged(_anchors(docs, unit, length, k, True).groupBy("h").count().filter("count > 1").select("h"), "often")
     found = staged(_anchors(docs, unit, length, k, False).join(often, "h", "left_semi"), "anchors")
     classes = staged(found.groupBy("h", "c").agg(
         F.count("*").alias("n"), F.min(F.struct("id", "at")).alias("rep")), "classes")
-    groups = classes.groupBy("h").agg(F.count("*").alias("classes")).filter("classes > 1")
+    groups = staged(classes.groupBy("h").agg(F.count("*").alias("classes")).filter("classes > 1"), "groups")
 
     from_ = "(at >> 20) - ((at >> 10) & 1023)"
     full = found.join(classes.filter("n > 1"), ["h", "c"])
@@ -222,12 +215,12 @@ def repeated_ranges(docs: DataFrame, unit: str, length: int, k: int, later_only:
     spans = staged(_spans(_squeezed(docs).join(lists, "id"), unit, length), "spans")
     big = groups.filter(F.col("classes") > GROUP_ROWS).select("h")
     small = spans.join(big, "h", "left_anti")
-    partly = arrow_groups(small, ["h"], compare, "id long, first long, past long", batch_rows=GROUP_ROWS)
+    partly = arrow_groups(small, ["h"], compare, "id long, first long, past long", batch_rows=BATCH_ROWS)
 
     def hashed(batches):
         for batch in batches:
-            for o in range(0, batch.num_rows, GROUP_ROWS):
-                w = Windows(pa.Table.from_batches([batch.slice(o, GROUP_ROWS)]))
+            for o in range(0, batch.num_rows, BATCH_ROWS):
+                w = Windows(pa.Table.from_batches([batch.slice(o, BATCH_ROWS)]))
                 a, b = w.hashes(unit, length)
                 yield pa.RecordBatch.from_arrays(
                     [_int(a), _int(b), _int(w.id[w.member]), _int(w.start)], names=["w1", "w2", "id", "first"])

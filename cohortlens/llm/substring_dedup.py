@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.anchors import NO_ID, Windows, flagged_runs, removed, repeated_ranges
+from cohortlens.llm.anchors import NO_ID, Windows, removed, repeated_ranges
 
 SEED_WORDS = 4
 
@@ -24,7 +24,9 @@ def _extend(length: int):
         a, b = w.hashes("word", length)
         order = np.lexsort((np.arange(len(a)), b, a))
         same = np.r_[False, (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])][:len(order)]
-        return [w.intervals(flagged_runs(w, order, same, True), length)]
+        later = np.zeros(len(order), bool)
+        later[order] = same  # equal windows are in text order
+        return [w.intervals(later, length)]
     return run
 
 

@@ -14,29 +14,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.anchors import NO_ID, Windows, flagged_runs, removed, repeated_ranges
+from cohortlens.llm.anchors import NO_ID, Windows, removed, repeated_ranges
 
 GRAM = 16
+PART = 1 << 16
 
 
 def longest_previous_factor(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:
     """For each text position the longest match with an earlier position.
 
     ``order``: text positions in suffix order; ``lcp[i]``: common prefix of order[i-1] and
-    order[i] (lcp[0] = 0).  For a suffix, the best earlier match is the previous or the next
-    smaller position in suffix order; its length is the least lcp on the way there.  Suffixes
-    leave the stack as soon as a smaller position follows, so this is linear.
+    order[i].  The best earlier match of a suffix is the previous or the next smaller
+    position in suffix order, and its length the least lcp on the way there.  All links jump
+    together over larger positions until none is left to jump.
     """
+    def towards(order, lcp):
+        link, least = np.arange(len(order)) - 1, lcp.copy()
+        while len(jump := np.flatnonzero((link >= 0) & (order[link] > order))):
+            over = link[jump]
+            least[jump] = np.minimum(least[jump], least[over])
+            link[jump] = link[over]
+        return np.where(link >= 0, least, 0)
+
     lpf = np.zeros(len(order), np.int64)
-    stack: list[tuple[int, int]] = []  # (position, lcp with the entry below)
-    for pos, common in zip(order.tolist(), lcp.tolist(), strict=True):
-        while stack and stack[-1][0] > pos:
-            above, below = stack.pop()
-            lpf[above] = max(below, common)
-            common = min(common, below)
-        stack.append((pos, common if stack else 0))
-    for pos, below in stack:
-        lpf[pos] = max(lpf[pos], below)
+    if len(order):
+        before = towards(order, lcp)
+        after = towards(order[::-1], np.r_[0, lcp[:0:-1]])[::-1]
+        lpf[order] = np.maximum(before, after)
     return lpf
 
 
@@ -46,27 +50,38 @@ def _compare(length: int, later_only: bool):
         size = np.fromiter(map(len, w.spans), np.int64, len(w.spans))
         text = b"".join(w.spans)
         place = (np.cumsum(size) - size)[w.member] + w.step
-        suffix = np.ndarray((len(text) - length + 1,), f"S{length}", text, strides=(1,))[place]
-        order = np.argsort(suffix, kind="stable")
-        suffix = suffix[order]
-        same = np.r_[False, suffix[1:] == suffix[:-1]]
-        # at the cap all that matters is whether a neighbour agrees in full: lcp is length or less
-        earlier = np.zeros(len(order), bool)
-        for a, b in _runs(same):
-            lcp = np.r_[0, np.full(b - a - 1, length)]
-            rank = np.argsort(np.argsort(order[a:b]))
-            earlier[order[a:b]] = longest_previous_factor(rank, lcp)[rank] >= length
-        flag = earlier if later_only else earlier | flagged_runs(w, order, same, False)
+        suffixes = np.ndarray((len(text) - length + 1,), f"S{length}", text, strides=(1,))
+        flag = np.zeros(len(place), bool)
+        for part in _shared_prefixes(w.hashes("byte", length)[0]):
+            suffix = suffixes[place[part]]
+            order = np.argsort(suffix, kind="stable")
+            suffix = suffix[order]
+            lcp = np.r_[0, np.where(suffix[1:] == suffix[:-1], length, 0)]  # as far as it matters
+            hit = longest_previous_factor(order, lcp) >= length
+            if not later_only:
+                last = len(order) - 1
+                hit |= longest_previous_factor(last - order, lcp)[::-1] >= length
+            flag[part] = hit
         if not later_only:
             flag &= w.n[w.member] == 1  # the others' windows are known to be repeated
         return [w.intervals(flag, length)]
     return run
 
 
-def _runs(same: np.ndarray):
-    """Ranges of two or more entries that continue one another."""
-    edge = np.flatnonzero(np.diff(np.r_[False, same, False]))
-    return [(a - 1, b) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
+def _shared_prefixes(key: np.ndarray):
+    """Suffixes whose first bytes (hashed: ``key``) occur again, in text order, in parts of about
+    ``PART`` that keep equal keys together; other suffixes have no match of that length."""
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    same = ranked[1:] == ranked[:-1]
+    again = np.r_[False, same] | np.r_[same, False] if len(key) else same
+    order, ranked = order[again], ranked[again]
+    at = 0
+    while at < len(order):
+        end = min(at + PART, len(order))
+        end = int(np.searchsorted(ranked, ranked[end - 1], "right"))
+        yield np.sort(order[at:end])
+        at = end
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, keep_first: bool = True) -> DataFrame:
