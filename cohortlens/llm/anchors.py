@@ -184,9 +184,13 @@ class Windows:
 
     def hashes(self, unit: str, length: int) -> tuple[np.ndarray, np.ndarray]:
         """128-bit hash of each window in two lanes."""
-        v, first = _values(self.spans, unit)
-        place = first[self.member] + self.step
-        return tuple(T.mix64(_sums(x, place, place + length)) for x in (v, T.mix64(v ^ _U(_X))))
+        lanes = np.zeros((2, len(self.member)), _U)
+        for i, j in T.chunks(self.spans, SEGMENT):
+            a, b = np.searchsorted(self.member, (i, j))
+            v, first = _values(self.spans[i:j], unit)
+            place = first[self.member[a:b] - i] + self.step[a:b]
+            lanes[:, a:b] = [T.mix64(_sums(x, place, place + length)) for x in (v, T.mix64(v ^ _U(_X)))]
+        return lanes[0], lanes[1]
 
 
 def repeated_ranges(docs: DataFrame, unit: str, length: int, k: int, later_only: bool, compare) -> DataFrame:
