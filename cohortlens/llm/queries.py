@@ -195,3 +195,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cut = remove_later_repeats(table(spark, sf_dir, "documents"), window_words=20)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.llm.toxicity import score_toxicity, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
