@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm import textops as T
@@ -252,3 +252,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose document is the one kept of its group; of rows that
+    share a doc_id one stays (the smallest text)."""
+    gone = found.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    left = docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    again = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    if not again.take(1):
+        return left
+    order = Window.partitionBy("doc_id").orderBy("text")
+    return left.withColumn("__nth", F.row_number().over(order)).filter("doc_id is null or __nth = 1").drop("__nth")

@@ -203,3 +203,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op9_weak_label_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.llm.weak_quality import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"))

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 import cohortlens
 
@@ -30,7 +31,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
+              schema: str | StructType) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 

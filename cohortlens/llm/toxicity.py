@@ -306,3 +306,17 @@ def score_toxicity(docs: DataFrame, model: dict) -> DataFrame:
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return arrow_map(read, run, "doc_id long, score double").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def reject_toxic(docs: DataFrame, model: dict, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``threshold``."""
+    place = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            texts = T.utf8(batch.column(place))
+            for i, j in T.chunks(texts):
+                score = sigmoid(np.c_[features(model["net"], texts[i:j]), np.ones(j - i)] @ model["document"])
+                yield batch.slice(i, j - i).filter(pa.array(score < threshold))
+
+    return arrow_map(docs, run, docs.schema)
