@@ -11,9 +11,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from cohortlens.llm.anchors import NO_ID, Windows, removed, repeated_ranges
+from cohortlens.llm.anchors import Windows, numbered, removed, renamed, repeated_ranges
 
 SEED_WORDS = 4
 
@@ -38,12 +37,13 @@ def remove_later_repeats(docs: DataFrame, window_words: int = 20) -> DataFrame:
     Removed is every word covered by ``window_words`` consecutive words that also start earlier
     (smaller doc_id, or same document and earlier place), judged on the input.  Windows do not
     cross documents.  Null and word-free texts have no words.  Rows with a null doc_id come
-    before all others.  Rows that share a doc_id are one document and are cut alike.  Other
+    before all others.  Equal rows are one document and are cut alike;
+    rows that share a doc_id with different texts are documents of their own.  Other
     columns are ignored; an empty table gives no rows.
     """
     if not SEED_WORDS <= window_words < 512:
         raise ValueError(f"window_words must be from {SEED_WORDS} to 511")
-    read = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
+    read, names = numbered(docs)
     ranges = repeated_ranges(read, "word", window_words, SEED_WORDS, True, _extend(window_words))
 
     def cut(ids, texts, merged):
@@ -60,8 +60,8 @@ def remove_later_repeats(docs: DataFrame, window_words: int = 20) -> DataFrame:
         kind = pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))
         return pa.RecordBatch.from_arrays(
             [ids, pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, kind),
-             pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "spans", "kept"])
+             pa.array(kept, pa.string())], names=["id", "n_words", "n_removed", "spans", "kept"])
 
-    out = removed(read, ranges, cut, "doc_id long, n_words long, n_removed long, "
+    out = removed(read, ranges, cut, "id long, n_words long, n_removed long, "
                   "spans array<struct<first:long,past:long>>, kept string")
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
+    return renamed(out, names)

@@ -12,9 +12,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from cohortlens.llm.anchors import NO_ID, Windows, removed, repeated_ranges
+from cohortlens.llm.anchors import Windows, numbered, removed, renamed, repeated_ranges
 
 GRAM = 16
 PART = 1 << 16
@@ -91,13 +90,13 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep_first: bool = True)
     Removed is every byte covered by a string of ``length`` bytes that also starts earlier
     (smaller doc_id, or same document and earlier place); with ``keep_first=False``, that also
     starts anywhere else.  Strings are judged on the input; matches do not cross documents.
-    A null text counts as empty.  Rows with a null doc_id come before all others.  Repeated
-    rows are one another's copies for ``keep_first=False``; rows that share a doc_id are cut
-    alike.  Other columns are ignored; an empty table gives no rows.
+    A null text counts as empty.  Rows with a null doc_id come before all others.  Equal
+    rows are one document, and copies of one another for ``keep_first=False``; rows that share
+    a doc_id with different texts are documents of their own.  Other columns are ignored; an empty table gives no rows.
     """
     if not GRAM <= length < 512:
         raise ValueError(f"length must be from {GRAM} to 511")
-    read = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
+    read, names = numbered(docs)
     ranges = repeated_ranges(read, "byte", length, GRAM, keep_first, _compare(length, keep_first))
 
     def cut(ids, texts, merged):
@@ -112,8 +111,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep_first: bool = True)
         return pa.RecordBatch.from_arrays(
             [ids, pa.array([len(t) for t in texts], pa.int64()), pa.array(gone, pa.int64()),
              pa.array(spans, kind), pa.array(kept, pa.binary())],
-            names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+            names=["id", "n_bytes", "n_removed", "spans", "kept"])
 
-    out = removed(read, ranges, cut, "doc_id long, n_bytes long, n_removed long, "
+    out = removed(read, ranges, cut, "id long, n_bytes long, n_removed long, "
                   "spans array<struct<first:long,past:long>>, kept binary")
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
+    return renamed(out, names)

@@ -24,7 +24,7 @@ from cohortlens.llm.shipping import arrow_map
 WINDOW, STRIDE = 32, 16
 WORD_ROWS, CHAR_ROWS, EMBED, HIDDEN = 1 << 14, 1 << 12, 8, 8
 SAMPLE_ROWS, SAMPLE_WINDOWS = 2500, 16
-EPOCHS, BATCH, SEED = 6, 256, 7
+EPOCHS, STEPS, BATCH, SEED = 6, 800, 256, 7  # at least so many passes and steps
 TOP = 6
 _U = np.uint64
 _FOLD = bytes(32 if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else ord(chr(b).lower()) if b < 128 else b
@@ -179,11 +179,13 @@ def train_network(texts: list[bytes], label: np.ndarray, seed: int = SEED) -> di
     m, v = ({k: np.zeros_like(net[k]) for k in dense} for _ in range(2))
     seen = {k: np.full_like(net[k], 1e-3) for k in ("word", "char")}
     step = 0
-    for epoch in range(EPOCHS):
+    size = min(BATCH, max(32, len(texts) // 32))
+    epochs = max(EPOCHS, -(-STEPS * size // len(texts)))
+    for epoch in range(epochs):
         order = rng.permutation(len(texts))
-        rate = 0.01 * (1 - epoch / EPOCHS)
-        for o in range(0, len(order), BATCH):
-            rows = order[o:o + BATCH]
+        rate = 0.01 * (1 - epoch / epochs)
+        for o in range(0, len(order), size):
+            rows = order[o:o + size]
             tokens = Tokens([texts[i] for i in rows])
             if not len(tokens.row):
                 continue
