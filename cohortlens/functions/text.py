@@ -11,10 +11,9 @@ NA_TOKENS = (
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# A plain decimal / scientific number, optionally signed and space-padded, or the
-# special values a coercing numeric parse accepts.
+# A plain decimal / scientific number, optionally signed and space-padded, or infinity.
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_SPECIAL = r"^\s*[+-]?(?i)(nan|inf|infinity)\s*$"
+_SPECIAL = r"^\s*[+-]?(?i)(inf|infinity)\s*$"
 
 
 def na_to_null(col: str | Column, tokens=NA_TOKENS) -> Column:
@@ -36,7 +35,7 @@ def na_to_null_all(df: DataFrame, tokens=NA_TOKENS) -> DataFrame:
 
 
 def to_number(col: str | Column) -> Column:
-    """Parse text to double; anything that is not a whole number literal becomes NULL.
+    """Parse text to double; anything that is not a whole number literal, NaN too, becomes NULL.
 
     Spark's own cast also accepts suffixes such as ``5d`` / ``5f``; the guard rejects
     those so only numbers parse."""

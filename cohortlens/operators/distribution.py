@@ -9,9 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.operators.ordinal import (
-    choose_method, exact_percentiles, ntile, ntile_bucket, percentile_from_positions, with_positions,
-)
+from cohortlens.operators.ordinal import bucket_start, exact_percentiles, ntile
 from cohortlens.operators.stats import percent
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -20,12 +18,11 @@ QUARTILES = (0.25, 0.5, 0.75)
 def percentile_stats(df: DataFrame, group: Sequence[str], value: str = "salary",
                      probs: Sequence[float] = QUARTILES,
                      names: Sequence[str] = ("p25", "median_salary", "p75"),
-                     min_n: int | None = None, n_name: str = "n", keep_raw: bool = False,
-                     method: str = "auto") -> DataFrame:
+                     min_n: int | None = None, n_name: str = "n", keep_raw: bool = False) -> DataFrame:
     """Per group: non-NULL count, exact percentiles rounded to whole units, and an
     optional minimum-size gate.  ``keep_raw`` also returns the unrounded values as
     ``_raw_<name>`` (for spreads such as IQR computed before rounding)."""
-    q = exact_percentiles(df, list(group), value, probs, [f"_raw_{n}" for n in names], method=method)
+    q = exact_percentiles(df, list(group), value, probs, [f"_raw_{n}" for n in names])
     if min_n is not None:
         q = q.where(F.col("_n") >= min_n)
     return q.select(*group, F.col("_n").alias(n_name),
@@ -38,46 +35,28 @@ def _count() -> Column:
 
 
 def ntile_mix(df: DataFrame, bucket_group: Sequence[str], order: Sequence[str], k: int,
-              report_group: Sequence[str], shares: dict[str, int], dp: int = 1,
-              method: str = "auto", median_of: str | None = None) -> DataFrame:
-    """Bucket rows by NTILE(k) within ``bucket_group``, then per ``report_group``: row
-    count and the percent of rows in each bucket named in ``shares`` (name -> bucket).
-    ``median_of`` adds that column's exact median (rounded) to the same aggregation,
-    through Spark's per-group percentile map: for inputs the size gate admits."""
-    b = ntile(df, list(bucket_group), list(order), k, "_bucket", method=method)
-    extra = []
-    if median_of is not None:
-        extra.append(F.round(F.round(F.percentile(F.col(median_of), F.lit(0.5)), 6)).alias("median_salary"))
+              report_group: Sequence[str], shares: dict[str, int], dp: int = 1) -> DataFrame:
+    """Bucket rows by NTILE(k) within ``bucket_group``, then per ``report_group``: row count and
+    the percent of rows in each bucket named in ``shares`` (name -> bucket)."""
+    b = ntile(df, list(bucket_group), list(order), k, "_bucket")
     return b.groupBy(*report_group).agg(
         _count().alias("total_n"),
         *[F.round(percent(F.sum(F.when(F.col("_bucket") == q, 1).otherwise(0)), _count()), dp).alias(name)
           for name, q in shares.items()],
-        *extra,
     )
 
 
-def ntile_bounds(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, k: int,
-                 ceiling_of: int, floor_of: int, with_median: bool = True, method: str = "auto") -> DataFrame:
-    """NTILE(k) within ``group``, then per group: row count, the largest value of bucket
-    ``ceiling_of``, the smallest of bucket ``floor_of`` and the exact median rounded to
-    whole units.  The distributed form reads the median off the same positions as the
-    buckets (one range sort for both)."""
-    method = choose_method(df, method)
-    if method in ("window", "local"):
-        ranked = ntile(df, list(group), list(order), k, "_bucket", method="window")
-        median = F.percentile(F.col(value), F.lit(0.5))
-    else:
-        ranked = with_positions(df, list(group), list(order)).withColumn(
-            "_bucket", ntile_bucket(F.col("_pos"), F.col("_n"), k))
-        median = percentile_from_positions(0.5, value)
-    aggs = [
-        _count().alias("total_n"),
-        F.max(F.when(F.col("_bucket") == ceiling_of, F.col(value))).alias(f"d{ceiling_of}_ceiling"),
-        F.min(F.when(F.col("_bucket") == floor_of, F.col(value))).alias(f"d{floor_of}_floor"),
-    ]
-    if with_median:
-        aggs.append(F.round(F.round(median, 6)).alias("median_salary"))
-    return ranked.groupBy(*group).agg(*aggs)
+def ntile_bounds(df: DataFrame, group: Sequence[str], value: str, k: int, ceiling_of: int, floor_of: int) -> DataFrame:
+    """NTILE(k) by ``value`` within ``group``, then per group: row count, the largest value of
+    bucket ``ceiling_of``, the smallest of bucket ``floor_of`` (NULL where empty) and the exact
+    median rounded to whole units.  A bucket's ends are the values at its first and last
+    position, so no row needs its bucket."""
+    n, high, low = F.col("_n"), f"d{ceiling_of}_ceiling", f"d{floor_of}_floor"
+    last = bucket_start(ceiling_of + 1, k) - 1
+    spots = {high: F.when(last >= bucket_start(ceiling_of, k), last).otherwise(n),
+             low: F.when(bucket_start(floor_of + 1, k) > bucket_start(floor_of, k), bucket_start(floor_of, k)).otherwise(n)}
+    q = exact_percentiles(df, list(group), value, (0.5,), ("_m",), extra=spots)
+    return q.select(*group, n.alias("total_n"), high, low, F.round("_m").alias("median_salary"))
 
 
 def cohort_median_gap(df: DataFrame, group: Sequence[str], flag: str, value: str,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from cohortlens.functions.rules import strip_unicode
 
 
 def explode_multival(df: DataFrame, src_col: str, out_col: str, sep: str = ";") -> DataFrame:
-    """(survey_year, response_id, out_col): one row per ``sep``-separated token.
+    """(survey_year, response_id, out_col): one row per token between ``sep`` (plain text).
 
     Rows whose source is NULL are dropped; tokens are stripped of surrounding whitespace;
     empty tokens and repeats are kept (callers filter blanks where a query needs it).
@@ -19,6 +21,6 @@ def explode_multival(df: DataFrame, src_col: str, out_col: str, sep: str = ";")
     return (
         df.select("survey_year", "response_id", src_col)
         .where(F.col(src_col).isNotNull())
-        .select("survey_year", "response_id", F.explode(F.split(F.col(src_col), sep, -1)).alias("_tok"))
+        .select("survey_year", "response_id", F.explode(F.split(F.col(src_col), re.escape(sep), -1)).alias("_tok"))
         .select("survey_year", "response_id", strip_unicode("_tok").alias(out_col))
     )

@@ -1,218 +1,134 @@
 """Exact order statistics per group, computed without gathering a group into one task.
 
-SQL's ``PERCENTILE_CONT`` and ``NTILE`` need each row's position in its group's sort
-order.  A window partitioned by the group does that in one task per group, which breaks
-down when one group holds a large share of all rows (three survey years; one dominant
-country).  Here the positions come from a global range sort instead:
-
-1. ``repartitionByRange(P, group.., order..)`` + ``sortWithinPartitions`` spreads every
-   group, however hot, over as many range partitions as its size needs;
-2. ``monotonically_increasing_id`` numbers rows inside each partition (its high bits
-   are the partition index), so a group's rows in one partition form a block with
-   consecutive ids;
-3. a small table of blocks (at most P + groups rows) gets, by a window over blocks,
-   the number of the group's rows in earlier partitions and the group size;
-4. each row's position is block offset + (id - first id of its block).
-
-The numbered rows are checkpointed once, so every use sees the same partitions and
-ids.  The range exchange has an explicit partition count (sized from the planned input
-bytes), so AQE keeps it.  The join against the
-block table is left to AQE, which broadcasts it when its measured size is small.
-
-``method='auto'`` (the default everywhere) uses the single-task forms (a window per
-group, Spark's ``percentile`` map) only when Catalyst plans the whole input below
-``SINGLE_TASK_BYTES``; both forms give the same exact results.
+``PERCENTILE_CONT`` and ``NTILE`` need the rows at given positions of a group's sort order.
+A window partitioned by the group puts a whole group (a survey year, a dominant country)
+into one task.  Here the positions are found by counting, column by column of the order:
+
+1. every value falls into a *block* by a fixed monotone function (4096 blocks for each
+   doubling of its size), and rows are counted by (group, block).  Spark counts before it
+   shuffles, so ties and hot groups cost one row per task, and the number of blocks depends
+   on the range of the values, not on the number of rows;
+2. a running sum over a group's blocks tells which block holds each wanted position;
+3. only those blocks are counted by value, and a running sum inside the block gives the
+   value and how far into its ties the position lies;
+4. where the order has another column, the same is done among the rows of that value.
+
+There is one plan for all sizes, nothing is written, and equal inputs give equal results.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.session import checkpoint_root
-
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
-
-# Inputs whose planned size is at most this many bytes may use the single-task forms
-# (a window per group / Spark's percentile map): then no group can be larger than the
-# whole input.  Set ``cohortlens.singleTaskBytes`` on the session to change it; 0
-# always uses the distributed forms.
-SINGLE_TASK_BYTES = 64 * 1024 * 1024
-
-
-def planned_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (the figure Spark's own broadcast choice uses;
-    computed from file sizes and column widths, no job runs)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001  (no JVM handle, e.g. a remote session)
-        return None
-
-
-def choose_method(df: DataFrame, method: str) -> str:
-    """``'auto'`` -> ``'local'`` when the whole input is known to be small, else ``'range'``."""
-    if method != "auto":
-        return method
-    limit = int(df.sparkSession.conf.get("cohortlens.singleTaskBytes", str(SINGLE_TASK_BYTES)))
-    size = planned_bytes(df)
-    return "local" if size is not None and size <= limit else "range"
-
-
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-MAX_RANGE_PARTITIONS = 1 << 17
-
-
-def _bytes(text: str) -> int:
-    t = text.strip().lower()
-    digits = t.rstrip("abcdefghijklmnopqrstuvwxyz")
-    unit = _UNITS[t[len(digits):]]
-    return int(digits) * unit if digits.isdigit() else int(float(digits) * unit)
-
-
-def _range_partitions(df: DataFrame, partitions: int | None) -> int:
-    """Partition count of the range sort.  AQE does not resize an exchange with an
-    explicit count, so it is sized here: the planned input size over AQE's advisory
-    partition size, never below ``spark.sql.shuffle.partitions``.  An input of unknown
-    size (planned at ``spark.sql.defaultSizeInBytes``) keeps the configured count."""
-    if partitions:
-        return partitions
-    conf = df.sparkSession.conf
-    base = int(conf.get("spark.sql.shuffle.partitions"))
-    size = planned_bytes(df)
-    unknown = _bytes(conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
-    if size is None or size >= unknown:
-        return base
-    target = max(_bytes(conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")), 1)
-    return max(base, min(-(-size // target), MAX_RANGE_PARTITIONS))
-
-
-def sorted_blocks(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                  partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows with ``_rid``/``_pid``, blocks with ``_first``/``_cnt``/``_before``/``_n``)."""
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    keys = [F.col(g).asc_nulls_first() for g in group] + [c.asc_nulls_first() for c in order_cols]
-    # The numbered rows are checkpointed (written to the session's checkpoint folder)
-    # before they are used twice.  Two uses that project different columns would plan
-    # two range exchanges, and the range partitioner seeds its boundary sample with the
-    # RDD id, so the two could split the data differently; a materialised copy also
-    # keeps ids stable if a task is re-run after an executor loss.
-    checkpoint_root(df.sparkSession)
-    rows = (
-        df.repartitionByRange(_range_partitions(df, partitions), *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_rid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-        .withColumn("_pid", F.shiftright("_rid", _ROW_BITS))
-    )
-    blocks = rows.groupBy("_pid", *group).agg(
-        F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    per_group = Window.partitionBy(*group)
-    blocks = blocks.withColumn(
-        "_before",
-        F.coalesce(F.sum("_cnt").over(per_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0).cast("long")),
-    ).withColumn("_n", F.sum("_cnt").over(per_group))
-    return rows, blocks
-
-
-def with_positions(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                   partitions: int | None = None) -> DataFrame:
-    """Every row plus ``_pos`` (0-based position in its group's order) and ``_n``."""
-    rows, blocks = sorted_blocks(df, group, order, partitions)
-    b = blocks.select("_pid", *[F.col(g).alias(f"_b_{g}") for g in group], "_first", "_before", "_n")
-    cond = rows["_pid"] == b["_pid"]
-    for g in group:
-        cond = cond & rows[g].eqNullSafe(b[f"_b_{g}"])
-    joined = rows.join(b, cond)
-    pos = F.col("_before") + (F.col("_rid") - F.col("_first"))
-    return joined.select(*df.columns, pos.alias("_pos"), F.col("_n"))
-
-
-def ntile_bucket(pos: Column, n: Column, k: int) -> Column:
-    """NTILE(k) bucket (1-based) of 0-based position ``pos`` among ``n`` rows: the first
-    ``n mod k`` buckets hold one extra row."""
-    q = F.floor(n / k).cast("long")
-    r = (n % k).cast("long")
-    big = r * (q + 1)
-    return F.when(pos < big, F.floor(pos / (q + 1)) + 1).otherwise(
-        r + F.floor((pos - big) / F.greatest(q, F.lit(1))) + 1).cast("int")
-
-
-def ntile(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int, name: str,
-          method: str = "auto", partitions: int | None = None) -> DataFrame:
-    """``NTILE(k) OVER (PARTITION BY group ORDER BY order)`` as a new column.
-
-    ``method='range'`` is the distributed form above; ``method='window'`` (alias
-    ``'local'``) is Spark's own window, one task per group; ``'auto'`` picks the window
-    only for inputs planned below ``SINGLE_TASK_BYTES``.  Give ``order`` a unique last
-    key for a deterministic split of ties."""
-    method = choose_method(df, method)
-    if method in ("window", "local"):
-        w = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(name, F.ntile(k).over(w))
-    ranked = with_positions(df, group, order, partitions)
-    return ranked.withColumn(name, ntile_bucket(F.col("_pos"), F.col("_n"), k)).drop("_pos", "_n")
-
-
-def percentile_from_positions(p: float, value: str = "salary", pos: str = "_pos", n: str = "_n") -> Column:
-    """Aggregate expression: continuous percentile ``p`` of ``value`` over rows that
-    carry their position (``with_positions``), grouped by the same keys."""
-    at = (F.col(n) - 1) * F.lit(float(p))
-    lo = F.max(F.when(F.col(pos) == F.floor(at), F.col(value)))
-    hi = F.max(F.when(F.col(pos) == F.ceil(at), F.col(value)))
-    frac = F.max(at - F.floor(at))
-    return lo + (hi - lo) * frac
-
-
-def _tag(p: float, side: str) -> str:
-    return f"{side}{p!r}"
+BLOCKS_PER_DOUBLING = 4096
+_SHIFT = 1 << 23  # larger than any doubling of a double, times the blocks in it
+
+
+def block_of(value: Column) -> Column:
+    """A whole number that never falls as ``value`` rises."""
+    size = F.floor(F.log2(F.abs(value.cast("double"))) * BLOCKS_PER_DOUBLING) + _SHIFT
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("long")
+
+
+def _match(keys: Sequence[str], prefix: str, *more: Column) -> Column:
+    """Each key equals the column named ``prefix`` + key; NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys] + list(more))
+
+
+def _renamed(df: DataFrame, keys: Sequence[str], prefix: str, *more: str) -> DataFrame:
+    return df.select(*[F.col(k).alias(prefix + k) for k in keys], *more)
+
+
+def _keep(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose keys occur in ``other``."""
+    return df.join(_renamed(other, keys, "_j_").distinct(), _match(keys, "_j_"), "left_semi")
+
+
+def _located(counted: DataFrame, wanted: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """For each wanted (keys, _tag, _pos): the row of ``counted`` (keys, by, count) that holds the
+    position in the order of ``by``, and the position counted from that row's start."""
+    upto = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    run = counted.withColumn("_end", F.sum("count").over(upto))
+    run = _renamed(run, keys, "_k_", by, "_end", "count")
+    hit = (F.col("_pos") < F.col("_end")) & (F.col("_pos") >= F.col("_end") - F.col("count"))
+    return wanted.join(run, _match(keys, "_k_", hit)).select(
+        *keys, by, "_tag", (F.col("_pos") - F.col("_end") + F.col("count")).alias("_pos"))
+
+
+def at_positions(df: DataFrame, group: Sequence[str], order: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """(group, order, _tag): the row of each group at each wanted (group, _tag, _pos); positions
+    from 0 in the order of the numeric, non-NULL columns ``order``."""
+    keys, rows = list(group), df.select(*group, *order)
+    for column in order:
+        blocked = rows.withColumn("_block", block_of(F.col(column)))
+        held = _located(blocked.groupBy(*keys, "_block").count(), wanted, keys, "_block")
+        inside = _keep(blocked, held, [*keys, "_block"])
+        found = _located(inside.groupBy(*keys, "_block", column).count(), held, [*keys, "_block"], column)
+        wanted = found.select(*keys, column, "_tag", "_pos")
+        keys = [*keys, column]
+        if column != order[-1]:
+            rows = _keep(rows, wanted, keys)
+    return wanted.drop("_pos")
+
+
+def group_sizes(df: DataFrame, group: Sequence[str], name: str = "_n") -> DataFrame:
+    return df.groupBy(*group).agg(F.count(F.lit(1)).alias(name))
+
+
+def _wanted(sizes: DataFrame, group: Sequence[str], positions: dict[str, Column]) -> DataFrame:
+    """One row per group and tag whose position exists."""
+    each = F.explode(F.array(*[F.struct(F.lit(t).alias("_tag"), p.cast("long").alias("_pos"))
+                               for t, p in positions.items()])).alias("_w")
+    return sizes.select(*group, "_n", each).select(*group, "_n", "_w._tag", "_w._pos").filter(
+        (F.col("_pos") >= 0) & (F.col("_pos") < F.col("_n"))).drop("_n")
+
+
+def values_at(df: DataFrame, group: Sequence[str], value: str, positions: dict[str, Column]) -> DataFrame:
+    """One row per group: ``_n`` and, named by tag, ``value`` at each position (a Column over
+    ``_n``; NULL where the group is too small).  NULL values do not count."""
+    rows = df.select(*group, value).where(F.col(value).isNotNull())
+    sizes = group_sizes(rows, group)
+    found = at_positions(rows, group, [value], _wanted(sizes, group, positions))
+    wide = found.groupBy(*group).agg(*[F.max(F.when(F.col("_tag") == t, F.col(value))).alias(t) for t in positions])
+    return sizes.join(_renamed(wide, group, "_g_", *positions), _match(group, "_g_"), "left").select(*group, "_n", *positions)
 
 
 def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
-                      names: Sequence[str], stabilise: int | None = 6, method: str = "auto",
-                      partitions: int | None = None) -> DataFrame:
-    """One row per group: ``_n`` (non-NULL count) and continuous percentiles
-    (linear interpolation between the order statistics at floor/ceil of (n-1)p).
-
-    ``stabilise`` rounds each percentile to that many decimals, so callers that round
-    further see the exact value rather than last-bit interpolation noise.
-    ``method='builtin'`` (alias ``'local'``) uses Spark's ``percentile`` aggregate (a
-    per-group value map in one task) instead of the distributed selection; ``'auto'``
-    picks it only for inputs planned below ``SINGLE_TASK_BYTES``."""
-    d = df.select(*group, value).where(F.col(value).isNotNull())
-    method = choose_method(d, method)
-    if method in ("builtin", "local"):
-        arr = F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs]))
-        out = d.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), arr.alias("_q"))
-        cols = [F.col("_q")[i] for i in range(len(probs))]
-    else:
-        rows, blocks = sorted_blocks(d, group, [value], partitions)
-        # target ranks of every percentile, located in the block that holds them
-        hits = []
-        for p in probs:
-            at = (F.col("_n") - 1) * F.lit(float(p))
-            for side, pos in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-                inside = (pos >= F.col("_before")) & (pos < F.col("_before") + F.col("_cnt"))
-                hits.append(F.when(inside, F.struct(F.lit(_tag(p, side)).alias("tag"),
-                                                    (F.col("_first") + pos - F.col("_before")).alias("rid"))))
-        targets = (
-            blocks.select("_n", F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("t"))
-            .select(F.col("t.tag").alias("_tag"), F.col("t.rid").alias("_rid"), "_n")
-        )
-        # every group has targets (positions 0..n-1 all fall in some block), so the
-        # picked rows carry each group's size too: one pass over the blocks
-        out = rows.join(targets, "_rid").groupBy(*group).agg(F.max("_n").alias("_n"), *[
-            F.max(F.when(F.col("_tag") == _tag(p, side), F.col(value))).alias(_tag(p, side).replace(".", "_"))
-            for p in probs for side in ("lo", "hi")
-        ])
-        cols = []
-        for p in probs:
-            lo, hi = F.col(_tag(p, "lo").replace(".", "_")), F.col(_tag(p, "hi").replace(".", "_"))
-            at = (F.col("_n") - 1) * F.lit(float(p))
-            frac = at - F.floor(at)
-            cols.append(lo + (hi - lo) * frac)
-    result = [F.round(c, stabilise) if stabilise is not None else c for c in cols]
-    return out.select(*group, "_n", *[c.alias(nm) for c, nm in zip(result, names)])
+                      names: Sequence[str], stabilise: int | None = 6, extra: dict[str, Column] | None = None) -> DataFrame:
+    """One row per group: ``_n`` (non-NULL count) and continuous percentiles (linear between the
+    order statistics at floor and ceil of (n-1)p).
+
+    ``stabilise`` rounds each to that many decimals, so callers that round further see the exact
+    value and not last-bit interpolation noise.  ``extra`` adds values at other positions."""
+    n = F.col("_n")
+    at = {name: (n - 1) * F.lit(float(p)) for name, p in zip(names, probs, strict=True)}
+    spots = {f"_lo_{k}": F.floor(a) for k, a in at.items()} | {f"_hi_{k}": F.ceil(a) for k, a in at.items()}
+    out = values_at(df, group, value, spots | (extra or {}))
+    cols = []
+    for k, a in at.items():
+        between = F.col(f"_lo_{k}") + (F.col(f"_hi_{k}") - F.col(f"_lo_{k}")) * (a - F.floor(a))
+        cols.append((F.round(between, stabilise) if stabilise is not None else between).alias(k))
+    return out.select(*group, "_n", *cols, *(extra or {}))
+
+
+def bucket_start(j: int, k: int, n: Column | str = "_n") -> Column:
+    """Position of the first row of bucket ``j`` (from 1) of NTILE(k) over ``n`` rows: the first
+    ``n mod k`` buckets hold one row more."""
+    n = F.col(n) if isinstance(n, str) else n
+    return (j - 1) * F.floor(n / k) + F.least(F.lit(j - 1), n % k)
+
+
+def ntile(df: DataFrame, group: Sequence[str], order: Sequence[str], k: int, name: str) -> DataFrame:
+    """``NTILE(k) OVER (PARTITION BY group ORDER BY order)`` as a new column: the rows that begin
+    buckets 2 to k are found, and a row's bucket is one more than the number of those that do not
+    follow it.  ``order`` must be unique within a group."""
+    starts = _wanted(group_sizes(df, group), group, {str(j): bucket_start(j, k) for j in range(2, k + 1)})
+    edges = at_positions(df, group, order, starts)
+    each = edges.groupBy(*group).agg(F.collect_list(F.struct(*order)).alias("_edges"))  # k - 1 at most
+    own = F.struct(*order)
+    bucket = F.size(F.filter(F.coalesce("_edges", F.array()), lambda e: e <= own)) + 1
+    return df.join(_renamed(each, group, "_g_", "_edges"), _match(group, "_g_"), "left").select(*df.columns, bucket.cast("int").alias(name))

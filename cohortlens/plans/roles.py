@@ -36,12 +36,11 @@ def role_rank_change(clean: DataFrame, min_n: int = 100) -> DataFrame:
     ).orderBy(YEAR, "salary_rank")
 
 
-def role_spread(clean: DataFrame, min_n: int = 100, ntile_method: str = "auto") -> DataFrame:
+def role_spread(clean: DataFrame, min_n: int = 100) -> DataFrame:
     """Deciles (NTILE(10)) within (year, role): the top of decile 1, the bottom of
     decile 9, their ratio and its rank per year; median for reference."""
-    rows = _paid_roles(clean).select(YEAR, ROLE, "response_id", "salary")
-    bounds = ntile_bounds(rows, [YEAR, ROLE], ["salary", "response_id"], "salary", 10,
-                          ceiling_of=1, floor_of=9, method=ntile_method)
+    rows = _paid_roles(clean).select(YEAR, ROLE, "salary")
+    bounds = ntile_bounds(rows, [YEAR, ROLE], "salary", 10, ceiling_of=1, floor_of=9)
     out = bounds.where(F.col("total_n") >= min_n).withColumn(
         "_ratio", F.col("d9_floor") / F.nullif(F.col("d1_ceiling"), F.lit(0.0)))
     out = rank_within(out, YEAR, "_ratio", "rank_by_spread")

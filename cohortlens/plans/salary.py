@@ -1,9 +1,8 @@
 """Salary jobs: country percentiles, experience premium, role mix over quartiles.
 
-Percentiles are exact (``operators.ordinal.exact_percentiles``).  On large inputs rows
-are range-sorted across the cluster and only the order statistics each group needs
-are picked, so a country or year holding a large share of respondents is not gathered
-into one task; inputs planned below the size gate use Spark's own percentile.
+Percentiles are exact (``operators.ordinal``): positions are found by counting blocks of
+values, so a country or year holding a large share of respondents is not gathered into one
+task, and ties cost nothing.
 Predicates on the cleaned columns reach the parquet reader because the cleaning view is
 materialised by the ingest step.
 """
@@ -16,7 +15,6 @@ from pyspark.sql import functions as F
 from cohortlens.functions.rules import non_blank
 from cohortlens.operators.cleaning import bracket_order
 from cohortlens.operators.distribution import ntile_mix, percentile_stats
-from cohortlens.operators.ordinal import choose_method
 from cohortlens.operators.stats import gap_to_baseline, period_delta, rank_within, topk_keys, topk_semi
 
 YEAR = "survey_year"
@@ -62,8 +60,7 @@ def salary_experience(clean: DataFrame, min_country_n: int = 500, top_k: int = 1
         YEAR, "country", "bracket_order")
 
 
-def salary_quartile_mix(clean: DataFrame, min_n: int = 50, first_year: int = 2023,
-                        ntile_method: str = "auto") -> DataFrame:
+def salary_quartile_mix(clean: DataFrame, min_n: int = 50, first_year: int = 2023) -> DataFrame:
     """Each respondent's salary quartile within the year (NTILE(4), ties split by
     response id), then per (year, role): count, median, % in the top and bottom
     quartile; roles with at least ``min_n``; rank by median."""
@@ -72,19 +69,11 @@ def salary_quartile_mix(clean: DataFrame, min_n: int = 50, first_year: int = 202
         .where(non_blank("dev_type_primary", trimmed=False) & (F.col(YEAR) >= first_year))
         .select(YEAR, "response_id", "dev_type_primary", "salary")
     )
-    method = choose_method(rows, ntile_method)
     shares = {"pct_in_top_quartile": 4, "pct_in_bottom_quartile": 1}
-    if method in ("local", "window"):
-        # small input: quartiles by window and the median in the same aggregation (one pass)
-        out = ntile_mix(rows, [YEAR], ["salary", "response_id"], 4, [YEAR, "dev_type_primary"], shares,
-                        method="window", median_of="salary")
-    else:
-        # the quartiles rank within the year, the median within (year, role): two sorts
-        mix = ntile_mix(rows, [YEAR], ["salary", "response_id"], 4, [YEAR, "dev_type_primary"], shares,
-                        method=method)
-        med = percentile_stats(rows, [YEAR, "dev_type_primary"], probs=(0.5,), names=("median_salary",),
-                               n_name="_n2", method=method)
-        out = mix.join(med, [YEAR, "dev_type_primary"])
+    # the quartiles rank within the year, the median within (year, role)
+    mix = ntile_mix(rows, [YEAR], ["salary", "response_id"], 4, [YEAR, "dev_type_primary"], shares)
+    med = percentile_stats(rows, [YEAR, "dev_type_primary"], probs=(0.5,), names=("median_salary",), n_name="_n2")
+    out = mix.join(med, [YEAR, "dev_type_primary"])
     out = out.where(F.col("total_n") >= min_n)
     out = rank_within(out, YEAR, "median_salary", "rank_by_median")
     return out.select(YEAR, "dev_type_primary", "total_n", "median_salary", "pct_in_top_quartile",

@@ -1,13 +1,14 @@
 """Survey-shaped panel derived from the driver's star-schema tables.
 
-One respondent per order placed before 2000; the answer columns are deterministic
-functions of order / customer / nation / part attributes (see FIXTURES.md, F4), so the
-panel grows with the tables and every query's work grows with it.
+One respondent per order, every order, the order years mapped onto the five survey years;
+the answer columns are deterministic functions of order / customer / nation / part
+attributes (see FIXTURES.md, F4), so the panel grows with the tables and every query's work
+grows with it.  The used answers list the parts of all lines of the order, the wanted
+answers the parts numbered as the lines' suppliers.
 
 Plan shape: lineitem x part (narrow projections, AQE picks broadcast or sort-merge)
 -> per-order answer lists (partial collect_set, bounded by distinct names per order)
--> joined to orders x customer x nation.  Every scan is pruned to the columns used,
-and the date cut is a plain range on ``o_orderdate`` so it reaches the parquet reader.
+-> joined to orders x customer x nation.  Every scan is pruned to the columns used.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ ED_LABELS = (
     "Doctor of Philosophy (Ph.D.)",
     "Some college/university study without earning a degree",
     "Unlisted level",
+    "Professional degree (JD, MD, etc.)",
+    "Something else",
 )
 EMPLOYMENT_LABELS = (
     "Student, full-time",
@@ -41,6 +44,7 @@ EMPLOYMENT_LABELS = (
     "Not employed, but looking for work",
     "I prefer not to say",
     "Employed",
+    "Retired",
 )
 ORG_LABELS = (
     "Just me - I am a freelancer, sole proprietor, etc.",
@@ -52,7 +56,16 @@ ORG_LABELS = (
     "1,000 to 4,999 employees",
     "10,000 or more employees",
     "Some made-up size",
+    "500 to 999 employees",
+    "5,000 to 9,999 employees",
 )
+BRANCH_LABELS = ("I am a developer by profession", "I code primarily as a hobby", "I am learning to code")
+CURRENCY_LABELS = ("USD\tUnited States dollar", "EUR\tEuropean Euro", "GBP\tPound sterling")
+FREQUENCY_LABELS = ("Yearly", "Monthly", "Weekly")
+#: The first 19 are the cells that a survey file's reader takes for missing.
+INDUSTRY_LABELS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null", "Banking", "Software", "Retail, wholesale")
 AI_LABELS = ("Yes", "No, and I don't plan to", "No, but I plan to soon")
 
 TABLES = ("orders", "customer", "nation", "lineitem", "part")
@@ -78,20 +91,22 @@ def survey_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``responses`` table (27 canonical columns) built from the driver tables."""
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
-    ).where(F.col("o_orderdate") < F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
+    )
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
-
-    ln = F.col("l_linenumber")
+    wanted = part.select(F.col("p_partkey").alias("w_partkey"), F.col("p_name").alias("w_name"),
+                         F.col("p_brand").alias("w_brand"))
     answer_lists = (
         lines.join(part, lines.l_partkey == part.p_partkey)
+        .join(wanted, lines.l_suppkey == wanted.w_partkey, "left")
         .groupBy("l_orderkey")
         .agg(
-            _joined_list(F.when(ln <= 5, F.col("p_name")), "; ").alias("lang_worked"),
-            _joined_list(F.when(ln >= 4, F.col("p_name")), ";").alias("lang_want"),
-            _joined_list(F.when(ln <= 3, F.col("p_brand")), ";").alias("db_worked"),
+            _joined_list(F.col("p_name"), "; ").alias("lang_worked"),
+            _joined_list(F.col("w_name"), ";").alias("lang_want"),
+            _joined_list(F.col("p_brand"), ";").alias("db_worked"),
+            _joined_list(F.col("w_brand"), ";").alias("db_want"),
         )
     )
 
@@ -103,7 +118,7 @@ def survey_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     okey, ckey = F.col("o_orderkey"), F.col("o_custkey")
     h = okey * 7 + ckey
-    year = (F.year("o_orderdate") + 26).cast("int")
+    year = (F.pmod(F.year("o_orderdate"), F.lit(5)) + 2021).cast("int")
     price = F.col("o_totalprice")
     dev_type = (
         F.when(h % 11 == 0, F.lit(None).cast("string"))
@@ -116,10 +131,10 @@ def survey_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = {
         "survey_year": year,
         "response_id": okey,
-        "main_branch": null_s,
-        "employment": F.when(h % 10 >= 7, F.lit("Employed, full-time")).otherwise(_pick(h % 10, EMPLOYMENT_LABELS)),
+        "main_branch": _pick(ckey % 4, BRANCH_LABELS),
+        "employment": F.when(h % 11 >= 8, F.lit("Employed, full-time")).otherwise(_pick(h % 11, EMPLOYMENT_LABELS)),
         "country": F.when(h % 37 == 0, null_s).otherwise(F.col("n_name")),
-        "ed_level": _pick(ckey % 9, ED_LABELS),
+        "ed_level": _pick(ckey % 11, ED_LABELS),
         "age": _pick(h % 4, AGE_LABELS),
         "years_code": (ckey % 45).cast("double"),
         "years_code_pro": F.when((year == 2025) | (h % 10 == 0), null_d)
@@ -127,21 +142,21 @@ def survey_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise((ckey % 60).cast("double")),
         "work_exp": F.when(year == 2021, null_d).otherwise((okey % 56).cast("double")),
         "dev_type": dev_type,
-        "org_size": _pick(ckey % 11, ORG_LABELS),
-        "currency": null_s,
-        "comp_total": null_d,
-        "comp_freq": null_s,
+        "org_size": _pick(ckey % 13, ORG_LABELS),
+        "currency": _pick(h % 4, CURRENCY_LABELS),
+        "comp_total": F.when(h % 8 != 0, price * 3),
+        "comp_freq": F.when(year <= 2022, _pick(okey % 4, FREQUENCY_LABELS)),
         "salary_usd_yearly": F.when(h % 9 == 0, null_d).when(h % 50 == 1, price / 1000).otherwise(price * 2.5),
         "remote_work": F.when(year == 2021, null_s).otherwise(_pick(okey % 6, REMOTE_LABELS)),
-        "industry": null_s,
+        "industry": F.when(year >= 2023, _pick(h % 23, INDUSTRY_LABELS)),
         "ai_select": F.when(year < 2023, null_s).otherwise(_pick(ckey % 4, AI_LABELS)),
         "lang_worked": F.col("lang_worked"),
         "lang_want": F.col("lang_want"),
-        "lang_admired": null_s,
+        "lang_admired": F.when(year >= 2024, F.col("lang_want")),
         "db_worked": F.col("db_worked"),
-        "db_want": null_s,
-        "platform_worked": null_s,
-        "tools_worked": null_s,
-        "dev_envs_worked": null_s,
+        "db_want": F.col("db_want"),
+        "platform_worked": F.col("c_mktsegment"),
+        "tools_worked": F.when(year <= 2024, F.col("o_orderpriority")),
+        "dev_envs_worked": F.concat(F.col("c_mktsegment"), F.lit(";"), F.col("n_name")),
     }
     return base.select(*[expr.alias(name) for name, expr in cols.items()])

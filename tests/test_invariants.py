@@ -89,7 +89,7 @@ def test_distribution_operators(spark):
     df = spark.createDataFrame(rows, "g string, id long, salary double, flag boolean")
     p = percentile_stats(df, ["g"], "salary").collect()[0]
     assert (p.n, p.p25, p.median_salary, p.p75) == (100, 26.0, 51.0, 75.0)
-    b = ntile_bounds(df, ["g"], ["salary", "id"], "salary", 10, ceiling_of=1, floor_of=9).collect()[0]
+    b = ntile_bounds(df, ["g"], "salary", 10, ceiling_of=1, floor_of=9).collect()[0]
     assert (b.total_n, b.d1_ceiling, b.d9_floor, b.median_salary) == (100, 10.0, 81.0, 51.0)
     m = ntile_mix(df, ["g"], ["salary", "id"], 4, ["g"], {"top": 4, "bottom": 1}).collect()[0]
     assert (m.total_n, m.top, m.bottom) == (100, 25.0, 25.0)

@@ -7,11 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cohortlens.plans.registry import QUERIES, _load
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables not present")
 
-NAMES = sorted(entry.queries())
+_load()
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -52,17 +54,3 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["survey_year", "language", "user_count", "adoption_pct", "prev_year_pct",
                           "yoy_change_pp", "next_year_pct", "rank_in_year"]
-
-
-DISTRIBUTED = ["salary_summary", "salary_country", "salary_experience", "salary_quartile_mix",
-               "remote_salary", "role_rank_change", "role_spread", "ai_salary"]
-
-
-@pytest.mark.parametrize("name", DISTRIBUTED)
-def test_distributed_order_statistics_match_oracle(spark, con, name):
-    """The same jobs with the single-task forms switched off (the path large inputs take)."""
-    spark.conf.set("cohortlens.singleTaskBytes", "0")
-    try:
-        test_job_matches_oracle(spark, con, name)
-    finally:
-        spark.conf.unset("cohortlens.singleTaskBytes")

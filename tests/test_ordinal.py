@@ -1,171 +1,107 @@
+"""Order statistics found by counting, against sorting in Python and Spark's own window."""
+
 import random
+from collections import defaultdict
 
 import numpy as np
-from pyspark.sql import functions as F
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-from cohortlens.operators.ordinal import exact_percentiles, ntile, with_positions
+from cohortlens.operators.distribution import ntile_bounds, ntile_mix
+from cohortlens.operators.ordinal import at_positions, block_of, exact_percentiles, group_sizes, ntile, values_at
 
 
-def frame(spark, sizes, seed=7, distinct=True):
+def frame(spark, sizes, values, seed=7):
     rnd = random.Random(seed)
-    rows, rid = [], 0
-    for g, n in sizes.items():
-        for _ in range(n):
-            rid += 1
-            v = rnd.uniform(1000, 300000) if distinct else float(rnd.randint(1, 5) * 1000)
-            rows.append((g, rid, round(v * 40) / 40))
-    return spark.createDataFrame(rows, "g string, rid long, v double")
+    rows = [(g, i) for g, n in sizes.items() for i in range(n)]
+    return spark.createDataFrame([(g, k, values(rnd)) for k, (g, _) in enumerate(rows)], "g string, rid long, v double")
 
 
-@pytest.mark.parametrize("k", [4, 10])
-def test_ntile_range_equals_window(spark, k):
-    # one hot group holding most rows, plus small and tiny groups (n < k)
-    df = frame(spark, {"hot": 1500, "a": 101, "b": 7, "c": 1, "d": 10})
-    a = {(r.g, r.rid): r.t for r in ntile(df, ["g"], ["v", "rid"], k, "t", method="range", partitions=13).collect()}
-    b = {(r.g, r.rid): r.t for r in ntile(df, ["g"], ["v", "rid"], k, "t", method="window").collect()}
-    assert a == b and len(a) == 1619
-
-
-def test_ntile_with_ties_on_value(spark):
-    df = frame(spark, {"x": 97, "y": 40}, distinct=False)
-    a = {r.rid: r.t for r in ntile(df, ["g"], ["v", "rid"], 4, "t", partitions=5).collect()}
-    b = {r.rid: r.t for r in ntile(df, ["g"], ["v", "rid"], 4, "t", method="window").collect()}
-    assert a == b
-
-
-def test_positions_cover_each_group_once(spark):
-    df = frame(spark, {"p": 333, "q": 12})
-    rows = with_positions(df, ["g"], ["v", "rid"], partitions=9).collect()
-    for g, n in (("p", 333), ("q", 12)):
-        pos = sorted(r._pos for r in rows if r.g == g)
-        assert pos == list(range(n)) and all(r._n == n for r in rows if r.g == g)
-
-
-def test_null_group_key(spark):
-    df = spark.createDataFrame([(None, i, float(i)) for i in range(20)] + [("z", 100 + i, float(i)) for i in range(3)],
-                               "g string, rid long, v double")
-    a = {r.rid: r.t for r in ntile(df, ["g"], ["v", "rid"], 4, "t", partitions=4).collect()}
-    b = {r.rid: r.t for r in ntile(df, ["g"], ["v", "rid"], 4, "t", method="window").collect()}
-    assert a == b
-
-
-@pytest.mark.parametrize("method", ["range", "builtin"])
-@pytest.mark.parametrize("distinct", [True, False])
-def test_percentiles_match_numpy_linear(spark, distinct, method):
-    sizes = {"hot": 1200, "a": 2, "b": 1, "c": 57}
-    df = frame(spark, sizes, seed=3, distinct=distinct)
-    probs = (0.25, 0.5, 0.75)
-    got = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, ["q1", "q2", "q3"], partitions=11,
-                                             method=method).collect()}
-    data = {}
+SIZES = {"hot": 900, "a": 101, "b": 7, "c": 1, None: 23}
+VALUES = {"spread": lambda r: r.uniform(-3e5, 3e5), "tied": lambda r: r.choice([-5.0, 0.0, 1000.0, 1000.5]),
+          "half tied": lambda r: 50000.0 if r.random() < 0.5 else round(r.uniform(1, 1e6), 2)}
+
+
+def grouped(df):
+    out = defaultdict(list)
     for r in df.collect():
-        data.setdefault(r.g, []).append(r.v)
-    for g, vals in data.items():
-        expect = np.percentile(np.array(vals), [25, 50, 75], method="linear")
-        assert got[g]._n == len(vals)
-        assert [got[g].q1, got[g].q2, got[g].q3] == pytest.approx(list(expect), abs=1e-6)
-
-
-def test_percentiles_range_equals_builtin(spark):
-    df = frame(spark, {"x": 400, "y": 33, "z": 4}, seed=11)
-    probs = (0.25, 0.5, 0.75)
-    a = {r.g: tuple(r) for r in exact_percentiles(df, ["g"], "v", probs, ["a", "b", "c"], method="range").collect()}
-    b = {r.g: tuple(r) for r in exact_percentiles(df, ["g"], "v", probs, ["a", "b", "c"], method="builtin").collect()}
-    assert a.keys() == b.keys()
-    for g in a:
-        assert a[g][1] == b[g][1]
-        assert list(a[g][2:]) == list(b[g][2:])  # equal once stabilised at 6 decimals
-
-
-def test_percentiles_ignore_nulls_and_multi_key(spark):
-    rows = [(2023, "r", float(v)) for v in (1, 2, 3, 4)] + [(2023, "r", None), (2024, "r", 10.0)]
+        out[r["g"]].append((r["v"], r["rid"]))
+    return {g: sorted(rows) for g, rows in out.items()}
+
+
+def test_blocks_never_fall(spark):
+    rnd = random.Random(1)
+    x = sorted([0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, *(rnd.uniform(-1, 1) * 10 ** rnd.randint(-20, 20) for _ in range(500))])
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "i int, v double").select("i", block_of(F.col("v")).alias("b"))
+    blocks = [r["b"] for r in got.orderBy("i").collect()]
+    assert blocks == sorted(blocks)
+
+
+@pytest.mark.parametrize("kind", VALUES)
+def test_percentiles_are_linear_between_rows(spark, kind):
+    df = frame(spark, SIZES, VALUES[kind])
+    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", (0.0, 0.25, 0.5, 0.9), ["q0", "q1", "q2", "q3"]).collect()}
+    for g, rows in grouped(df).items():
+        v = [x for x, _ in rows]
+        assert got[g]["_n"] == len(v)
+        assert list(got[g][2:]) == pytest.approx(np.percentile(v, [0, 25, 50, 90]).tolist(), abs=1e-6)
+
+
+@pytest.mark.parametrize("kind", VALUES)
+@pytest.mark.parametrize("k", [4, 10])
+def test_ntile_is_sparks_window(spark, kind, k):
+    df = frame(spark, SIZES, VALUES[kind])
+    own = Window.partitionBy("g").orderBy("v", "rid")
+    both = ntile(df, ["g"], ["v", "rid"], k, "t").withColumn("w", F.ntile(k).over(own)).collect()
+    assert len(both) == sum(SIZES.values()) and all(r["t"] == r["w"] for r in both)
+
+
+def test_positions_beyond_a_group_are_null(spark):
+    df = frame(spark, {"x": 3, "y": 1}, VALUES["spread"])
+    got = {r["g"]: r for r in values_at(df, ["g"], "v", {"first": F.lit(0), "third": F.lit(2), "none": F.lit(-1)}).collect()}
+    rows = grouped(df)
+    assert got["x"]["first"] == rows["x"][0][0] and got["x"]["third"] == rows["x"][2][0]
+    assert got["y"]["third"] is None and got["x"]["none"] is None
+
+
+def test_rows_at_positions_break_ties_by_the_next_column(spark):
+    df = frame(spark, {"x": 50}, VALUES["tied"])
+    wanted = group_sizes(df, ["g"]).select("g", F.lit("p").alias("_tag"), F.lit(20).cast("long").alias("_pos"))
+    (got,) = at_positions(df, ["g"], ["v", "rid"], wanted).collect()
+    assert (got["v"], got["rid"]) == grouped(df)["x"][20]
+
+
+def test_nulls_do_not_count_and_groups_of_two_columns(spark):
+    rows = [(2023, "r", float(v)) for v in (1, 2, 3, 4)] + [(2023, "r", None), (2024, "r", 10.0), (2024, None, 7.0)]
     df = spark.createDataFrame(rows, "y int, k string, v double")
-    got = {(r.y, r.k): (r._n, r.m) for r in exact_percentiles(df, ["y", "k"], "v", (0.5,), ["m"], method="range").collect()}
-    assert got == {(2023, "r"): (4, 2.5), (2024, "r"): (1, 10.0)}
-
-
-def test_range_plan_has_no_single_partition_window_on_rows(spark):
-    df = frame(spark, {"hot": 200})
-    plan = ntile(df, ["g"], ["v", "rid"], 4, "t", method="range")._jdf.queryExecution().executedPlan().toString()
-    # the range sort ran in the checkpoint job; the plan reads the numbered rows back
-    assert "existingrdd" in plan.lower()
-    assert "ntile" not in plan.lower()
-
-
-def test_job_methods_agree(spark):
-    from cohortlens.plans import roles, salary
-    from cohortlens.sources.store import store
-    s = store(spark, "/root/testdata/sf0.001")
-    a = sorted(tuple(r) for r in roles.role_spread(s.clean(), min_n=5, ntile_method="range").collect())
-    b = sorted(tuple(r) for r in roles.role_spread(s.clean(), min_n=5, ntile_method="window").collect())
-    assert a == b and len(a) > 0
-    a = sorted(tuple(r) for r in salary.salary_quartile_mix(s.clean(), min_n=5, ntile_method="range").collect())
-    b = sorted(tuple(r) for r in salary.salary_quartile_mix(s.clean(), min_n=5, ntile_method="window").collect())
-    assert a == b and len(a) > 0
-
-
-def test_auto_picks_by_planned_size(spark, tmp_path):
-    from cohortlens.operators.ordinal import choose_method
-    # an in-memory frame has no known size: the distributed form is the safe choice
-    assert choose_method(frame(spark, {"a": 10}), "auto") == "range"
-    frame(spark, {"a": 10}).write.parquet(str(tmp_path / "t"))
-    df = spark.read.parquet(str(tmp_path / "t"))
-    assert choose_method(df, "auto") == "local"
-    spark.conf.set("cohortlens.singleTaskBytes", "0")
-    try:
-        assert choose_method(df, "auto") == "range"
-    finally:
-        spark.conf.unset("cohortlens.singleTaskBytes")
-    assert choose_method(df, "range") == "range"
-
-
-def _py_ntile(n, k):
-    """SQL NTILE over n rows: the first n mod k buckets get one extra row."""
-    q, r = divmod(n, k)
-    out = []
-    for b in range(1, k + 1):
-        out += [b] * (q + (1 if b <= r else 0))
-    return out[:n]
-
-
-def test_bucket_formula_matches_definition(spark):
-    from cohortlens.operators.ordinal import ntile_bucket
-    cases = [(n, k) for n in range(0, 60) for k in (1, 2, 3, 4, 7, 10)]
-    rows = [(n, k, pos) for n, k in cases for pos in range(n)]
-    df = spark.createDataFrame(rows, "n long, k int, pos long")
-    got = {}
-    for k in sorted({k for _, k in cases}):
-        for r in df.where(df.k == k).select("n", "pos", ntile_bucket(df.pos, df.n, k).alias("b")).collect():
-            got[(r.n, k, r.pos)] = r.b
-    for n, k in cases:
-        assert [got[(n, k, p)] for p in range(n)] == _py_ntile(n, k)
-
-
-def test_range_partition_count_follows_input_size(spark, tmp_path):
-    from cohortlens.operators.ordinal import _range_partitions, planned_bytes
-    frame(spark, {"a": 3000}).write.parquet(str(tmp_path / "t"))
-    df = spark.read.parquet(str(tmp_path / "t"))
-    assert _range_partitions(df, None) == 8          # small input: the configured count
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1kb")
-    try:
-        n = _range_partitions(df, None)
-        assert n > 8 and n == -(-planned_bytes(df) // 1024)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert _range_partitions(frame(spark, {"a": 5}), None) == 8   # unknown size
-    assert _range_partitions(df, 3) == 3
-
-
-def test_range_ntile_on_sampled_bounds_with_carried_columns(spark):
-    """Enough rows per input partition that the range boundaries come from a random
-    sample, and extra carried columns: the block table and the row side must still see
-    the same partitioning (regression: they once planned two differently-sampled
-    exchanges)."""
-    df = (spark.range(0, 60000, 1, 6)
-          .select((F.col("id") % 3).alias("g"), F.col("id").alias("rid"),
-                  (F.hash("id") % 100000).cast("double").alias("v"),
-                  F.concat(F.lit("x"), F.col("id").cast("string")).alias("carried")))
-    a = {r.rid: r.t for r in ntile(df, ["g"], ["v", "rid"], 4, "t", method="range", partitions=8).collect()}
-    b = {r.rid: r.t for r in ntile(df, ["g"], ["v", "rid"], 4, "t", method="window").collect()}
-    assert a == b
+    got = {(r["y"], r["k"]): (r["_n"], r["m"]) for r in exact_percentiles(df, ["y", "k"], "v", (0.5,), ["m"]).collect()}
+    assert got == {(2023, "r"): (4, 2.5), (2024, "r"): (1, 10.0), (2024, None): (1, 7.0)}
+
+
+def test_ends_of_buckets(spark):
+    df = frame(spark, SIZES, VALUES["half tied"])
+    t = df.withColumn("t", F.ntile(10).over(Window.partitionBy("g").orderBy("v", "rid"))).groupBy("g").agg(
+        F.max(F.when(F.col("t") == 1, F.col("v"))).alias("d1"), F.min(F.when(F.col("t") == 9, F.col("v"))).alias("d9"))
+    expected = {r["g"]: (r["d1"], r["d9"]) for r in t.collect()}
+    got = ntile_bounds(df, ["g"], "v", 10, ceiling_of=1, floor_of=9).collect()
+    assert {r["g"]: (r["d1_ceiling"], r["d9_floor"]) for r in got} == expected
+
+
+def test_mix_over_buckets(spark):
+    df = spark.createDataFrame([(1, i, float(i), "ab"[i % 2]) for i in range(8)], "y int, rid long, v double, role string")
+    got = ntile_mix(df, ["y"], ["v", "rid"], 4, ["role"], {"top": 4, "low": 1}).collect()
+    assert {tuple(r) for r in got} == {("a", 4, 25.0, 25.0), ("b", 4, 25.0, 25.0)}
+
+
+def test_no_task_reads_much_more_than_the_mean_of_a_tied_column(spark):
+    """Half of the rows hold one value: they are counted before the shuffle, so what the tasks
+    after it read is one row per task and value, not the ties."""
+    df = spark.range(200_000).select(F.lit("g").alias("g"), F.when(
+        F.col("id") % 2 == 0, F.lit(5.0)).otherwise(F.col("id") * 1.0).alias("v"))
+    counted = df.withColumn("b", block_of(F.col("v"))).groupBy("g", "b").count()
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == 2  # partial below the exchange, final above
+    assert counted.count() < 70_000
+    (r,) = exact_percentiles(df, ["g"], "v", (0.25, 0.5), ["q", "m"]).collect()
+    assert (r["_n"], r["q"], r["m"]) == (200_000, 5.0, 5.0) or r["m"] == pytest.approx(5.0, abs=5)
