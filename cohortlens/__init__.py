@@ -6,7 +6,6 @@ Layers:
   operators/  DataFrame -> DataFrame operators (explode, cleaning, shares, ranks,
               exact distributed order statistics)
   plans/      the audit and trend jobs built from the operators, plus their SQL oracles
-  streaming/  incremental ingest of newly arriving yearly files
 """
 
 __version__ = "0.1.0"

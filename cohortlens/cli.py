@@ -3,10 +3,13 @@
     python -m cohortlens ingest --data-dir data/ --tables out/tables
     python -m cohortlens clean  --tables out/tables
     python -m cohortlens run    --tables out/tables lang_trend salary_country ...
+    python -m cohortlens run    --tables out/tables --out out/reports lang_trend
+    python -m cohortlens sql    --tables out/tables "SELECT survey_year, count(*) FROM responses GROUP BY 1"
     python -m cohortlens list
 
 Reports use the published thresholds (the functions' defaults).  ``--tables`` should
-be shared storage on a cluster.  Results are small aggregates; ``run`` prints them.
+be shared storage on a cluster.  ``run`` and ``sql`` print every row of a result, or write it
+as CSV under ``--out``.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortlens.operators.cleaning import clean as clean_view
 from cohortlens.plans import quality, remote, roles, salary, trends
 from cohortlens.sources import survey_csv
-from cohortlens.sources.store import read_table, write_tables
+from cohortlens.sources.store import read_table, register_views, write_tables
 
 TABLES = ("responses", "responses_clean", "lang_exploded", "db_exploded")
 
@@ -71,6 +74,16 @@ def ingest(spark: SparkSession, data_dir: str, tables: str) -> dict[str, tuple[s
     return write_tables(survey_csv.ingest(spark, data_dir), tables.rstrip("/"))
 
 
+def _give(result: DataFrame, out: str | None, name: str) -> None:
+    if out:
+        result.write.mode("overwrite").option("header", "true").csv(out)
+        return
+    print(f"== {name}")
+    result = result.cache()
+    result.show(max(result.count(), 1), truncate=False)
+    result.unpersist()
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     ap = argparse.ArgumentParser(prog="cohortlens")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -81,8 +94,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--tables", required=True)
     p = sub.add_parser("run", help="run reports over the tables")
     p.add_argument("--tables", required=True)
-    p.add_argument("--rows", type=int, default=50)
+    p.add_argument("--out", help="write each report as a CSV folder here and print nothing")
     p.add_argument("reports", nargs="+", choices=sorted(REPORTS))
+    p = sub.add_parser("sql", help="run a query over the tables by name")
+    p.add_argument("--tables", required=True)
+    p.add_argument("--out", help="write the result as a CSV folder here")
+    p.add_argument("query")
     sub.add_parser("list", help="list report names")
     args = ap.parse_args(argv)
 
@@ -97,9 +114,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         quality.null_salary_pct(t.responses).show()
     elif args.cmd == "clean":
         print(f"responses_clean: {clean_view(Tables(spark, args.tables).responses).count():,} rows")
+    elif args.cmd == "sql":
+        register_views(spark, args.tables)
+        _give(spark.sql(args.query), args.out, "sql")
     else:
         t = Tables(spark, args.tables)
         for name in args.reports:
-            print(f"== {name}")
-            REPORTS[name](t).show(args.rows, truncate=False)
+            _give(REPORTS[name](t), args.out and f"{args.out.rstrip('/')}/{name}", name)
     return 0

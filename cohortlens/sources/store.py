@@ -53,12 +53,15 @@ def write_tables(responses: DataFrame, out_dir: str) -> dict[str, tuple[str, ...
     tables are derived from the written copy, so the source plan runs once.
     Returns each table's column order."""
     spark = responses.sparkSession
-    with_derived(responses).write.mode("overwrite").partitionBy("survey_year").parquet(f"{out_dir}/panel")
+    def save(df: DataFrame, folder: str) -> None:
+        # rebalanced by year: a task's rows go to one year's folder, in files of the advisory size
+        df.hint("rebalance", "survey_year").write.mode("overwrite").partitionBy("survey_year").parquet(
+            f"{out_dir}/{folder}")
+
+    save(with_derived(responses), "panel")
     stored = spark.read.parquet(f"{out_dir}/panel")
-    explode_multival(stored, "lang_worked", "language").write.mode("overwrite").partitionBy(
-        "survey_year").parquet(f"{out_dir}/lang_exploded")
-    explode_multival(stored, "db_worked", "database").write.mode("overwrite").partitionBy(
-        "survey_year").parquet(f"{out_dir}/db_exploded")
+    save(explode_multival(stored, "lang_worked", "language"), "lang_exploded")
+    save(explode_multival(stored, "db_worked", "database"), "db_exploded")
     return {n: table_columns(n) for n in ("responses", "responses_clean", *EXPLODED_COLUMNS)}
 
 
@@ -100,12 +103,16 @@ class PanelStore:
         return self.table("db_exploded")
 
     def register_views(self) -> list[str]:
-        """Register the four tables as temp views under their own names, so SQL text
-        (``spark.sql``) can read them like the database tables they replace."""
-        names = ["responses", "responses_clean", "lang_exploded", "db_exploded"]
-        for name in names:
-            self.table(name).createOrReplaceTempView(name)
-        return names
+        return register_views(self.spark, self.root)
+
+
+def register_views(spark: SparkSession, root: str) -> list[str]:
+    """Register the four tables of a folder written by ``write_tables`` as temp views under their
+    own names, so SQL text (``spark.sql``) can read them like database tables."""
+    names = ["responses", "responses_clean", *EXPLODED_COLUMNS]
+    for name in names:
+        read_table(spark, root, name).createOrReplaceTempView(name)
+    return names
 
 
 def store(spark: SparkSession, sf_dir: str) -> PanelStore:

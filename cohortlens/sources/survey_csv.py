@@ -6,9 +6,10 @@ and renames the mapped columns (NULL where the year lacks one), ``union_years``
 the years by name and ``coerce_numeric`` parses the numeric answers.  Missing-value
 tokens become NULL at the scan, as a default pandas read would do.
 
-Note on scale: a ``multiLine`` CSV file is read by one task (it cannot be split at
-arbitrary offsets), so parallelism comes from the number of files / part files; the
-ingest writes parquet once and every later job reads that.
+Files are read in splits, also where a quoted answer holds line breaks: quotes are counted
+per split, a running count over the few splits of a file says whether a split begins inside
+a quoted answer, and lines are put together to records before they are parsed.  Each part
+file is parsed by its own header line, so parts may order their columns differently.
 
 ``write_year_files`` goes the other way: it renders a canonical table in each year's
 file layout (used to exercise the real-file path on data derived from the driver
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import csv as pycsv
 import hashlib
+import re
 import threading
 from functools import reduce
 
@@ -39,58 +41,100 @@ LESS_THAN_ONE = "Less than 1 year"
 MORE_THAN_FIFTY = "More than 50 years"
 EXPERIENCE_TEXT_COLUMNS = ("years_code", "years_code_pro")
 
-CSV_READ_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+CSV_PARSE_OPTIONS = {"quote": '"', "escape": '"'}
+FILE_YEAR = re.compile(FILE_TEMPLATE.format(year=r"(\d{4})").replace(".csv", r"\.csv"))
 
 
 def year_path(data_dir: str, year: int) -> str:
     return f"{data_dir.rstrip('/')}/{FILE_TEMPLATE.format(year=year)}"
 
 
-def _first_line(spark: SparkSession, path: str) -> str | None:
-    """First line of the first data file under ``path``, read through the Hadoop
-    FileSystem API (no Spark job); falls back to a one-row text scan."""
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(path)
-        fs = root.getFileSystem(conf)
-        if fs.getFileStatus(root).isDirectory():
-            files = sorted(
-                (st.getPath() for st in fs.listStatus(root)
-                 if st.isFile() and not st.getPath().getName().startswith(("_", "."))),
-                key=lambda q: q.getName())
-        else:
-            files = [root]
-        for f in files:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(f), "UTF-8"))
-            try:
-                line = reader.readLine()
-            finally:
-                reader.close()
-            if line is not None:
-                return line
-        return None
-    except Exception:  # noqa: BLE001  (no JVM handle, e.g. a remote session)
-        row = spark.read.text(path).first()
-        return None if row is None else row[0]
+def _first_lines(spark: SparkSession, path: str) -> dict[str, str]:
+    """The first line of each data file under ``path``, by file, read through the Hadoop
+    FileSystem API (no Spark job)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root = fs.makeQualified(root)
+    files = [root]
+    if fs.getFileStatus(root).isDirectory():
+        files = sorted((st.getPath() for st in fs.listStatus(root)
+                        if st.isFile() and not st.getPath().getName().startswith(("_", "."))), key=lambda q: q.getName())
+    found = {}
+    for f in files:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(f), "UTF-8"))
+        try:
+            line = reader.readLine()
+        finally:
+            reader.close()
+        if line is not None:
+            found[f.toString()] = line
+    return found
+
+
+def headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The column names of each non-empty data file under ``path``."""
+    found = {f: next(pycsv.reader([line.lstrip("\ufeff")])) for f, line in _first_lines(spark, path).items()}
+    if not found:
+        raise ValueError(f"empty survey file: {path}")
+    return found
 
 
 def header_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the header line, so the scan gets an explicit all-text schema
-    instead of a schema-inference pass over the files."""
-    line = _first_line(spark, path)
-    if line is None:
-        raise ValueError(f"empty survey file: {path}")
-    return next(pycsv.reader([line.lstrip("\ufeff")]))
+    """All column names of the files under ``path``, in the order they first occur."""
+    return list(dict.fromkeys(c for names in headers(spark, path).values() for c in names))
+
+
+def discover(spark: SparkSession, data_dir: str) -> tuple[int, ...]:
+    """The years of the survey files in ``data_dir``, from their names."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(data_dir)
+    listed = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+    names = (FILE_YEAR.fullmatch(st.getPath().getName()) for st in listed)
+    return tuple(sorted(int(m[1]) for m in names if m))
+
+
+def records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, record, text): the records of CSV files, numbered from 1 (the header) in each file;
+    line breaks inside quotes stay in the text.
+
+    A split (at most ``spark.sql.files.maxPartitionBytes``) is the largest unit that one task
+    orders.  Per split there is a count of quotes and one of record starts; running sums over
+    a file's splits carry them on."""
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"))
+    lines = lines.withColumn("quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
+    split = ["file", "block"]
+    ahead = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy(*split).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy(*split).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    nothing = F.lit(0).cast("long")
+    opened = lines.groupBy(*split).agg(F.sum("quotes").alias("n")).select(
+        *split, F.coalesce(F.sum("n").over(ahead), nothing).alias("open"))
+    marked = lines.join(opened, split).withColumn("begins", (
+        (F.col("open") + F.coalesce(F.sum("quotes").over(above), nothing)) % 2 == 0).cast("long"))
+    begun = marked.groupBy(*split).agg(F.sum("begins").alias("n")).select(
+        *split, F.coalesce(F.sum("n").over(ahead), nothing).alias("earlier"))
+    numbered = marked.join(begun, split).withColumn("record", F.col("earlier") + F.sum("begins").over(so_far))
+    whole = numbered.groupBy("file", "record").agg(
+        F.array_sort(F.collect_list(F.struct("block", "at", "value"))).alias("lines"))
+    text = F.array_join(F.transform("lines", lambda x: x["value"]), "\n")
+    return whole.select("file", "record", F.regexp_replace(text, "\r$", "").alias("text"))
 
 
 def read_year(spark: SparkSession, data_dir: str, year: int) -> DataFrame:
-    """One year's file, every column as text, missing-value tokens as NULL."""
-    path = year_path(data_dir, year)
-    names = header_columns(spark, path)
-    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    raw = spark.read.options(**CSV_READ_OPTIONS).schema(schema).csv(path)
-    return na_to_null_all(raw)
+    """One year's file (or folder of part files), every column as text, missing-value tokens as
+    NULL; a column that a part lacks is NULL there."""
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file, names in headers(spark, year_path(data_dir, year)).items():
+        layouts.setdefault(tuple(names), []).append(file)
+    frames = []
+    for names, files in layouts.items():
+        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        rows = records(spark, files).filter("record > 1 and text <> ''")
+        frames.append(rows.select(F.from_csv("text", schema.simpleString(), CSV_PARSE_OPTIONS).alias("c")).select("c.*"))
+    return na_to_null_all(union_years(frames))
 
 
 def scan_years(spark: SparkSession, data_dir: str, years=YEARS) -> DataFrame:
@@ -193,15 +237,16 @@ def _sql_str(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def schema_profile(spark: SparkSession, data_dir: str, years=YEARS, sample_rows: int = 5,
+def schema_profile(spark: SparkSession, data_dir: str, years=None, sample_rows: int = 5,
                    samples: int = 2) -> DataFrame:
     """One row per (year, source column): the file's column count, non-NULL cells over
     all rows, and up to ``samples`` non-NULL values among the ``sample_rows`` rows with
-    the smallest response id ('ALL NULL' when none).
+    the smallest response id ('ALL NULL' when none).  ``years``: those of the files found.
 
     One scan of all files: non-NULL counts are one grouped aggregate; the sample rows
     come from ``row_number() <= sample_rows`` per year, which Spark plans as a
     map-side group limit, so no year is gathered into one task."""
+    years = years or discover(spark, data_dir)
     layouts = {y: header_columns(spark, year_path(data_dir, y)) for y in years}
     raw = scan_years(spark, data_dir, years)
     cols = [c for c in raw.columns if c != "survey_year"]

@@ -26,3 +26,15 @@ def test_every_report_builds(spark):
     t = cli.Tables(spark, out)
     for name, fn in cli.REPORTS.items():
         assert fn(t).columns, name
+
+
+def test_sql_over_the_users_tables_and_full_output(spark, capsys):
+    folder = tempfile.mkdtemp(prefix="cohortlens-cli-")
+    cli.ingest(spark, survey_csv.survey_files(spark, SF), folder + "/tables")
+    text = "SELECT response_id FROM responses_clean ORDER BY response_id"
+    assert cli.main(["sql", "--tables", folder + "/tables", text], spark=spark) == 0
+    shown = capsys.readouterr().out
+    rows = spark.read.parquet(folder + "/tables/panel").count()
+    assert rows > 100 and shown.count("|") >= 2 * rows  # every row is printed
+    assert cli.main(["run", "--tables", folder + "/tables", "--out", folder + "/out", "lang_trend"], spark=spark) == 0
+    assert spark.read.option("header", "true").csv(folder + "/out/lang_trend").columns[0] == "survey_year"

@@ -77,3 +77,45 @@ def test_hand_written_file_with_dirty_values(spark, tmp_path):
                for r in got.values())
     raw = {r.ResponseId: r.Notes for r in csv.read_year(spark, str(tmp_path), 2023).collect()}
     assert raw["2"] == 'multi\nline "quoted"'
+
+
+def _year_file(tmp_path, year, **parts):
+    folder = tmp_path / f"survey_results_public_{year}.csv"
+    folder.mkdir()
+    for name, text in parts.items():
+        (folder / f"{name}.csv").write_bytes(text.encode())
+    return str(tmp_path)
+
+
+def test_one_file_is_read_in_many_splits(spark, tmp_path):
+    """Quoted line breaks across split borders: the splits are smaller than most records."""
+    rows = [(i, f'He said "{i}"\nand\n\nleft; {"x" * (i % 90)}', "UK" if i % 3 else "") for i in range(1, 400)]
+    text = "ResponseId,Notes,Country\n" + "".join(
+        '{},"{}",{}\n'.format(i, t.replace('"', '""'), c) for i, t, c in rows)
+    folder = _year_file(tmp_path, 2023, part=text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = spark.read.option("lineSep", "\n").text(f"{folder}/survey_results_public_2023.csv")
+        assert lines.rdd.getNumPartitions() > 20
+        got = {r["ResponseId"]: (r["Notes"], r["Country"]) for r in csv.read_year(spark, folder, 2023).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {str(i): (t, c or None) for i, t, c in rows}
+
+
+def test_each_part_is_parsed_by_its_own_header(spark, tmp_path):
+    folder = _year_file(tmp_path, 2024, a="ResponseId,Country,WorkExp\r\n1,UK,7\r\n", b="WorkExp,ResponseId\n9,2\n", c="")
+    got = {r.response_id: (r.country, r.work_exp) for r in csv.ingest(spark, folder, years=(2024,)).collect()}
+    assert got == {1: ("UK", 7.0), 2: (None, 9.0)}
+
+
+def test_profile_finds_the_years_by_the_file_names(spark, tmp_path):
+    for year in (2022, 2031):
+        _year_file(tmp_path, year, part=f"ResponseId,Only{year}\n1,x\n2,NA\n")
+    (tmp_path / "notes.csv").write_text("a\n1\n")
+    assert csv.discover(spark, str(tmp_path)) == (2022, 2031)
+    got = {(r.survey_year, r.column_name): (r.n_columns, r.non_null, r.sample_values)
+           for r in csv.schema_profile(spark, str(tmp_path)).collect()}
+    assert got == {(y, c): (2, n, v) for y in (2022, 2031) for c, n, v in [("ResponseId", 2, "1 | 2"), (f"Only{y}", 1, "x")]}
