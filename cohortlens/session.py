@@ -43,8 +43,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running cohortlens jobs")
     local = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
     sc.setCheckpointDir(local)
+    remove_at_exit(spark, local)
     return sc.getCheckpointDir() or local
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system that holds ``path`` delete it when the driver ends."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortlens.operators.cleaning import CLEAN_COLUMNS, with_derived
 from cohortlens.operators.explode import explode_multival
 from cohortlens.schema import RESPONSE_COLUMNS
-from cohortlens.session import checkpoint_root
+from cohortlens.session import checkpoint_root, remove_at_exit
 from cohortlens.sources.panel import survey_panel
 
 _lock = threading.Lock()
@@ -82,8 +82,9 @@ class PanelStore:
             root = _built.get(key)
             if root is None:
                 digest = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
-                root = f"{checkpoint_root(spark).rstrip('/')}/cohortlens-tables/{digest}"
+                root = f"{checkpoint_root(spark).rstrip('/')}/cohortlens-tables/{spark.sparkContext.applicationId}/{digest}"
                 write_tables(survey_panel(spark, self.sf_dir), root)
+                remove_at_exit(spark, root)
                 _built[key] = root
         self.root = root
 

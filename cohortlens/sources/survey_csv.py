@@ -32,7 +32,7 @@ from cohortlens.functions.text import na_to_null_all, to_number
 from cohortlens.schema import (
     COLUMN_MAP, NUMERIC_COLUMNS, YEARS, canonical_type, responses_schema, source_columns,
 )
-from cohortlens.session import checkpoint_root
+from cohortlens.session import checkpoint_root, remove_at_exit
 
 # The published files' name pattern, and how they spell out-of-range
 # experience answers.
@@ -227,8 +227,9 @@ def survey_files(spark: SparkSession, sf_dir: str) -> str:
         path = _files.get(key)
         if path is None:
             digest = hashlib.sha1(key[1].encode()).hexdigest()[:12]
-            path = f"{checkpoint_root(spark).rstrip('/')}/cohortlens-files/{digest}"
+            path = f"{checkpoint_root(spark).rstrip('/')}/cohortlens-files/{key[0]}/{digest}"
             write_year_files(store(spark, sf_dir).responses(), path)
+            remove_at_exit(spark, path)
             _files[key] = path
     return path
 
