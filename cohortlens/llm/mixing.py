@@ -108,7 +108,9 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repea
     total = quota.agg(F.sum("slots")).first()[0] or 0
     shards = max(1, -(-total // shard_blocks))
     slots = quota.filter("slots > 0").withColumn("chunk", F.explode(F.expr(f"sequence(0L, (slots - 1) div {CHUNK})")))
-    slots = slots.repartition("skey", "chunk").withColumn("k", F.explode(F.expr(
+    # a number of partitions keeps these few rows apart: each makes CHUNK slots
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = slots.repartition(parts, "skey", "chunk").withColumn("k", F.explode(F.expr(
         f"sequence(chunk * {CHUNK}, least(slots, (chunk + 1) * {CHUNK}) - 1)")))
     slots = slots.withColumn("pass", F.expr("k div blocks")).withColumn("j", F.expr("k % blocks"))
     slots = slots.withColumn("block", permuted(F.col("j"), F.col("blocks"), F.lit(seed), F.col("skey"), F.col("pass")))

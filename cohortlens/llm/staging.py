@@ -1,20 +1,17 @@
 """Intermediate tables in the shared folder.
 
 Intermediates are Parquet tables under ``spark.checkpoint.dir`` (shared by driver and
-executors), so a lost executor costs a reread, not a recomputation.  They are removed by
-``release`` or when the Python process ends.
+executors), so a lost executor costs a reread, not a recomputation.  The file system deletes
+them when the driver ends.
 """
 
 from __future__ import annotations
 
-import atexit
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from cohortlens.session import checkpoint_root
-
-_STAGED: dict[str, SparkSession] = {}
+from cohortlens.session import checkpoint_root, remove_at_exit
 
 
 def staged(df: DataFrame, tag: str) -> DataFrame:
@@ -22,19 +19,5 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _STAGED[path] = spark
+    remove_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def release() -> None:
-    """Delete every table written by ``staged``; frames that read them are no longer usable."""
-    for path, spark in list(_STAGED.items()):
-        _STAGED.pop(path)
-        try:
-            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-        except Exception:  # the session has ended: nothing can be deleted through it any more
-            return
-
-
-atexit.register(release)
