@@ -25,7 +25,7 @@ WINDOW, STRIDE = 32, 16
 WORD_ROWS, CHAR_ROWS, EMBED, HIDDEN = 1 << 14, 1 << 12, 8, 8
 SAMPLE_ROWS, SAMPLE_WINDOWS = 2500, 16
 EPOCHS, STEPS, BATCH, SEED = 6, 800, 256, 7  # at least so many passes and steps
-TOP = 6
+PART = 2048  # windows that are read at a time
 _U = np.uint64
 _FOLD = bytes(32 if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else ord(chr(b).lower()) if b < 128 else b
               for b in range(256))
@@ -217,8 +217,8 @@ def features(net: dict, texts: list[bytes]) -> np.ndarray:
         tokens = Tokens(texts[i:j])
         text, start, length = windows(tokens.first)
         x = tokens.inputs(net) if len(tokens.row) else np.zeros((1, 2 * EMBED), np.float32)
-        logit = np.concatenate([forward(net, x, *_laid_out(tokens, start[o:o + 8192], length[o:o + 8192]))
-                                for o in range(0, len(start), 8192)])
+        logit = np.concatenate([forward(net, x, *_laid_out(tokens, start[o:o + PART], length[o:o + PART]))
+                                for o in range(0, len(start), PART)])
         order = np.lexsort((-logit, text))
         count = np.bincount(text, minlength=j - i)
         first = np.cumsum(count) - count
