@@ -126,6 +126,16 @@ def forward(net: dict, x: np.ndarray, token: np.ndarray, mask: np.ndarray, keep:
     return pooled @ net["out"] + net["bias"][0]
 
 
+def summed(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in ``row``, ordered, and the sum of ``value`` (one line each) by number."""
+    if not len(row):
+        return row, value
+    order = np.argsort(row, kind="stable")
+    row = row[order]
+    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+    return row[first], np.add.reduceat(value[order], first)
+
+
 def gradients(net: dict, x: np.ndarray, token: np.ndarray, mask: np.ndarray, dlogit: np.ndarray, keep: dict):
     """Gradients of all dense weights, and of ``x``."""
     g = {"out": keep["pooled"].T @ dlogit, "bias": np.array([dlogit.sum()], np.float32)}
@@ -137,10 +147,10 @@ def gradients(net: dict, x: np.ndarray, token: np.ndarray, mask: np.ndarray, dlo
     dact = dscore[:, :, None] * net["key"] * (1 - act * act)
     g["att"] = np.einsum("tbh,tbk->hk", h, dact)
     dh_all = weight[:, :, None] * dpool + dact @ net["att"].T
-    dx, n = np.zeros_like(x), HIDDEN
+    dgate, n = np.zeros((*token.shape, 6 * HIDDEN), np.float32), HIDDEN
     for i, d in enumerate("fb"):
         u, du = net["U" + d], np.zeros_like(net["U" + d])
-        dgate = np.zeros((len(x), 3 * n), np.float32)
+        own = dgate[:, :, 3 * n * i:3 * n * (i + 1)]
         dh = np.zeros((token.shape[1], n), np.float32)
         for t, prev, z, r, new, hu in reversed(keep[d]):
             dh = dh + dh_all[t][:, i * n:(i + 1) * n]
@@ -149,13 +159,17 @@ def gradients(net: dict, x: np.ndarray, token: np.ndarray, mask: np.ndarray, dlo
             dnew = dstep * (1 - z) * (1 - new * new)
             dz = -dstep * (new - prev) * z * (1 - z)
             dr = dnew * hu * r * (1 - r)
-            da = np.concatenate([dz, dr, dnew], 1)
+            own[t] = np.concatenate([dz, dr, dnew], 1)
             dhu = np.concatenate([dz, dr, dnew * r], 1)
             du += prev.T @ dhu
-            np.add.at(dgate, token[t], da)
             dh = dh - dstep * (1 - z) + dhu @ u.T
-        g["U" + d], g["W" + d], g["c" + d] = du, x.T @ dgate, dgate.sum(0)
-        dx += dgate @ net["W" + d].T
+        g["U" + d] = du
+    word, dgate = summed(token.ravel(), dgate.reshape(-1, 6 * n))
+    dx = np.zeros_like(x)
+    for i, d in enumerate("fb"):
+        own = dgate[:, 3 * n * i:3 * n * (i + 1)]
+        g["W" + d], g["c" + d] = x[word].T @ own, own.sum(0)
+        dx[word] += own @ net["W" + d].T
     return g, dx
 
 
@@ -201,9 +215,7 @@ def train_network(texts: list[bytes], label: np.ndarray, seed: int = SEED) -> di
             word, dword = tokens.row, dx[:, :EMBED]
             dchar = (dx[:, EMBED:] / tokens.length[:, None])[tokens.owner]
             for k, row, grad in (("word", word, dword), ("char", tokens.gram, dchar)):
-                rows_, inverse = np.unique(row, return_inverse=True)
-                total = np.zeros((len(rows_), EMBED), np.float32)
-                np.add.at(total, inverse, grad)
+                rows_, total = summed(row, grad)
                 seen[k][rows_] += total ** 2
                 net[k][rows_] -= 5 * rate * total / np.sqrt(seen[k][rows_])
     return net
