@@ -217,9 +217,11 @@ def renamed(out: DataFrame, names: DataFrame | None) -> DataFrame:
     return out.join(names, "id").select("doc_id", *[c for c in out.columns if c != "id"])
 
 
-def repeated_ranges(docs: DataFrame, unit: str, length: int, k: int, later_only: bool, compare) -> DataFrame:
+def repeated_ranges(docs: DataFrame, unit: str, length: int, k: int, later_only: bool, compare,
+                    differ: bool) -> DataFrame:
     """(id, first, past): unit ranges made of windows that also start elsewhere in ``docs`` (id,
-    text), or with ``later_only`` that also start earlier (by id, then place).
+    text), or with ``later_only`` that also start earlier (by id, then place).  ``differ``: no
+    id is in two rows.
 
     ``compare(table) -> batches of (id, first, past)`` flags windows among spans of whole anchor
     groups.
@@ -240,7 +242,10 @@ def repeated_ranges(docs: DataFrame, unit: str, length: int, k: int, later_only:
     sent = classes.join(groups, "h").select(F.col("rep.id").alias("id"), F.struct(
         "h", "n", F.col("rep.at").alias("at"), "classes").alias("item"))
     lists = sent.groupBy("id").agg(F.collect_list("item").alias("list"))
-    spans = staged(_spans(_squeezed(docs).join(lists, "id"), unit, length), "spans")
+    texts = _squeezed(docs)
+    if not differ:  # a repeated row would send its spans again, as if they stood there twice
+        texts = texts.dropDuplicates(["id"])
+    spans = staged(_spans(texts.join(lists, "id"), unit, length), "spans")
     big = groups.filter(F.col("classes") > GROUP_ROWS).select("h")
     small = spans.join(big, "h", "left_anti")
     partly = arrow_groups(small, ["h"], compare, "id long, first long, past long", batch_rows=BATCH_ROWS)

@@ -44,7 +44,7 @@ def remove_later_repeats(docs: DataFrame, window_words: int = 20) -> DataFrame:
     if not SEED_WORDS <= window_words < 512:
         raise ValueError(f"window_words must be from {SEED_WORDS} to 511")
     read, names = numbered(docs)
-    ranges = repeated_ranges(read, "word", window_words, SEED_WORDS, True, _extend(window_words))
+    ranges = repeated_ranges(read, "word", window_words, SEED_WORDS, True, _extend(window_words), names is None)
 
     def cut(ids, texts, merged):
         kept, spans, gone, total = [], [], [], []

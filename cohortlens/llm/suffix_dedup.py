@@ -97,7 +97,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep_first: bool = True)
     if not GRAM <= length < 512:
         raise ValueError(f"length must be from {GRAM} to 511")
     read, names = numbered(docs)
-    ranges = repeated_ranges(read, "byte", length, GRAM, keep_first, _compare(length, keep_first))
+    ranges = repeated_ranges(read, "byte", length, GRAM, keep_first, _compare(length, keep_first), names is None)
 
     def cut(ids, texts, merged):
         kept, spans, gone = [], [], []

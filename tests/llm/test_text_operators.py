@@ -122,6 +122,22 @@ def test_repeated_words(docs, monkeypatch, limits):
     assert rows(remove_later_repeats(docs, 20), "doc_id", "n_words", "n_removed", "kept") == expected
 
 
+@pytest.mark.parametrize("limits", [None, (4, 2), (4, 1)])
+def test_repeated_row_holds_a_partly_shared_passage_first(frame, monkeypatch, limits):
+    if limits:
+        monkeypatch.setattr(anchors, "BATCH_ROWS", limits[0])
+        monkeypatch.setattr(anchors, "GROUP_ROWS", limits[1])
+    passage, own, other = ([f"{x}{n}" for n in range(40)] for x in ("shared", "own", "other"))
+    first, later = " ".join(own + passage + own[::-1]), " ".join(other + passage + other[::-1])
+    df = frame([(1, first), (1, first), (2, later)])
+    kept = " ".join(other + other[::-1])
+    assert rows(remove_later_repeats(df, 20), "doc_id", "n_removed", "kept") == Counter(
+        {(1, 0, first): 2, (2, 40, kept): 1})
+    got = Counter((r["doc_id"], r["n_removed"], bytes(r["kept"])) for r in remove_repeats(df, 200, True).collect())
+    assert got == Counter({(i, removed, k): n for (i, _, removed, _, k), n in bytes_removed(df, 200, True).items()})
+    assert got[1, 0, first.encode()] == 2
+
+
 def near_expected(given, k, percent):
     sets = []
     for i, t in given:
