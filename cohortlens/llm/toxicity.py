@@ -26,6 +26,7 @@ WORD_ROWS, CHAR_ROWS, EMBED, HIDDEN = 1 << 14, 1 << 12, 8, 8
 SAMPLE_ROWS, SAMPLE_WINDOWS = 2500, 16
 EPOCHS, STEPS, BATCH, SEED = 6, 800, 256, 7  # at least so many passes and steps
 PART = 2048  # windows that are read at a time
+UNTAUGHT = np.array([0, 0, 0, 0, -4.0])  # document weights without both labels: all score 0.018
 _U = np.uint64
 _FOLD = bytes(32 if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else ord(chr(b).lower()) if b < 128 else b
               for b in range(256))
@@ -257,11 +258,13 @@ def held_out(doc_id) -> F.Column:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(doc_id, text, y): at most ``rows`` labelled rows of each label that may be learnt from,
-    by a hash of the id.  The broadcast side has at most 2 * ``rows`` rows."""
+    """(doc_id, text, y): at most ``rows`` labelled documents of each label that may be learnt
+    from, by a hash of the id; labels of other documents do not count.  The broadcast side has at
+    most 2 * ``rows`` rows."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).filter(
         F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
+    known = known.groupBy("doc_id").agg(F.max("y").alias("y")).join(
+        docs.select("doc_id").distinct(), "doc_id", "left_semi")
     order = F.xxhash64(F.lit(SEED), "doc_id")
     picked = [known.filter(F.col("y") == y).orderBy(order, "doc_id").limit(rows) for y in (0, 1)]
     return docs.select("doc_id", "text").join(F.broadcast(picked[0].union(picked[1])), "doc_id")
@@ -298,7 +301,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, window_ro
         [("doc_id", "ascending"), ("a", "ascending")])
     x = np.stack([told.column(c).to_numpy() for c in "abcd"], 1)
     y = told.column("y").to_numpy().astype(float)
-    return {"net": net, "document": fit_logistic(x, y) if len(x) else np.zeros(5)}
+    return {"net": net, "document": fit_logistic(x, y) if len(set(y)) == 2 else UNTAUGHT}
 
 
 def score_toxicity(docs: DataFrame, model: dict) -> DataFrame:
@@ -306,7 +309,7 @@ def score_toxicity(docs: DataFrame, model: dict) -> DataFrame:
 
     Null and word-free texts are scored as one empty window.  Rows with a null doc_id are
     scored like others, repeated rows each.  A model without both labels in its sample scores
-    all documents alike.  Other columns are ignored; an empty table gives no rows.
+    all documents alike and below 0.5.  Other columns are ignored; an empty table gives no rows.
     """
     def run(batches):
         for batch in batches:

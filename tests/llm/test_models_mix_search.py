@@ -65,6 +65,33 @@ def test_toxicity_on_held_out_rows(spark, docs):
     assert left.count() == sum(r["score"] < 0.5 for r in odd)
 
 
+def taught(spark):
+    """Documents, half of them rude, and their labels."""
+    rude = [(i, f"you stupid idiot number{i} get lost", 1) for i in range(0, 80, 2)]
+    rows = rude + [(i, f"a quiet walk number{i} by the sea", 0) for i in range(1, 80, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return df.select("doc_id", "text"), df.select("doc_id", "toxic")
+
+
+def test_labels_of_other_documents_take_no_place_in_the_sample(spark):
+    docs, labels = taught(spark)
+    others = spark.range(1000, 9000).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    sample = X._sample(docs, labels.union(others), 20).collect()
+    assert sorted(r["y"] for r in sample) == [0] * 20 + [1] * 20
+    assert all(r["y"] == 1 - r["doc_id"] % 2 for r in sample)
+    model = X.train(docs, labels.union(others), rows=20)
+    left = X.reject_toxic(docs, model).collect()
+    assert {r["doc_id"] for r in left} == set(range(1, 80, 2))
+
+
+@pytest.mark.parametrize("known", ["false", "doc_id >= 1000", "toxic = 1", "toxic = 0"])
+def test_documents_stay_without_usable_labels(spark, known):
+    docs, labels = taught(spark)
+    model = X.train(docs, labels.unionByName(labels.withColumn("doc_id", F.col("doc_id") + 1000)).filter(known))
+    assert {r["predicted"] for r in X.score_toxicity(docs, model).collect()} == {0}
+    assert X.reject_toxic(docs, model).count() == docs.count()
+
+
 def test_labellers_accuracies_are_found():
     r = np.random.default_rng(2)
     good = r.random(20000) < 0.8
