@@ -272,7 +272,7 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, window_rows: int = SAMPLE_WINDOWS) -> dict:
     """Fit network and document model.  To the driver come at most 2 * ``rows`` * ``window_rows``
-    windows of 32 words and four numbers for each of the rows."""
+    windows of 32 whole words (twice the sampled texts at most) and four numbers for each of the rows."""
     sample = _sample(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, rows)
 
     def cut(batches):
@@ -282,7 +282,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, window_ro
                 words = folded(raw).split()
                 starts = np.arange(1 + max(0, -(-(len(words) - WINDOW) // STRIDE))) * STRIDE
                 chosen = np.argsort(T.mix64(starts.astype(_U) + _U(own & 0xFFFFFFFF)))[:window_rows]
-                parts = [b" ".join(w[:64] for w in words[s:s + WINDOW]) for s in starts[np.sort(chosen)]]
+                parts = [b" ".join(words[s:s + WINDOW]) for s in starts[np.sort(chosen)]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([own] * len(parts)), pa.array(parts, pa.binary()), pa.array([y] * len(parts), pa.int32())],
                     names=["doc_id", "part", "y"])

@@ -92,6 +92,14 @@ def test_documents_stay_without_usable_labels(spark, known):
     assert X.reject_toxic(docs, model).count() == docs.count()
 
 
+def test_words_are_learnt_beyond_64_bytes(spark):
+    rows = [(i, f"{'x' * 64}{('kind', 'rude')[i % 2]} number{i}", i % 2) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = X.train(df, df)
+    new = spark.createDataFrame([(i, f"{'x' * 64}{('kind', 'rude')[i % 2]} else{i}") for i in range(20)], "doc_id long, text string")
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in X.score_toxicity(new, model).collect())
+
+
 def test_labellers_accuracies_are_found():
     r = np.random.default_rng(2)
     good = r.random(20000) < 0.8
