@@ -193,21 +193,23 @@ class Windows:
         return lanes[0], lanes[1]
 
 
-def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """(id, text) of ``docs``, where equal ids mean equal texts, and (id, doc_id) or None.
+def numbered(docs: DataFrame, *also) -> tuple[DataFrame, DataFrame | None]:
+    """(id, text and the columns ``also``) of ``docs``, where equal ids mean equal texts, and
+    (id, doc_id) or None.
 
     id is doc_id where all are present and differ.  Otherwise the distinct documents are
     numbered in the order of doc_id (null first) and a hash of the text.
     """
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also)
+    rest = read.columns[1:]
     odd = read.groupBy("doc_id").count().filter("doc_id is null or count > 1")
     if not odd.take(1):
-        return read.select(F.col("doc_id").alias("id"), "text"), None
+        return read.select(F.col("doc_id").alias("id"), *rest), None
     key = read.withColumn("key", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn(
         "known", F.coalesce("doc_id", F.lit(NO_ID)))
     names = staged(key.select("doc_id", "known", "key").distinct().orderBy("known", "key").withColumn(
         "id", F.monotonically_increasing_id()), "numbers")
-    return key.join(names.select("known", "key", "id"), ["known", "key"]).select("id", "text"), names.select("id", "doc_id")
+    return key.join(names.select("known", "key", "id"), ["known", "key"]).select("id", *rest), names.select("id", "doc_id")
 
 
 def renamed(out: DataFrame, names: DataFrame | None) -> DataFrame:

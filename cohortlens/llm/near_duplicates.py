@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm import textops as T
+from cohortlens.llm.anchors import numbered
 from cohortlens.llm.components import connected_components
 from cohortlens.llm.shipping import arrow_groups, arrow_map
 from cohortlens.llm.staging import staged
@@ -264,3 +265,18 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
         return left
     order = Window.partitionBy("doc_id").orderBy("text")
     return left.withColumn("__nth", F.row_number().over(order)).filter("doc_id is null or __nth = 1").drop("__nth")
+
+
+def without_copies(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, with one document of each group of ``near_duplicates``.
+
+    Rows whose doc_id is null or shared are documents by doc_id and text (null as empty): those
+    with different, unlinked texts all stay, and of rows equal in both one stays (the smallest
+    row).  If there are such rows, ones with a null doc_id come first in their group.
+    """
+    read, names = numbered(docs, F.struct(*docs.columns).alias("row"))
+    if names is None:
+        return one_of_each(docs, staged(near_duplicates(docs, shingle_words, percent), "groups"))
+    found = near_duplicates(read.select(F.col("id").alias("doc_id"), "text"), shingle_words, percent)
+    kept = staged(found.filter("kept").select(F.col("doc_id").alias("id")).distinct(), "kept")
+    return read.join(kept, "id", "left_semi").groupBy("id").agg(F.min("row").alias("row")).select("row.*")

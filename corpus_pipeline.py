@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.llm.mixing import mix_sources, mixed_documents
-from cohortlens.llm.near_duplicates import near_duplicates, one_of_each
+from cohortlens.llm.near_duplicates import without_copies
 from cohortlens.llm.packing import pack_documents
 from cohortlens.llm.queries import table, vocabulary
 from cohortlens.llm.secrets import find_secrets, redacted
@@ -25,7 +25,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five-word shingles, similarity 0.8)."""
-    return one_of_each(docs, staged(near_duplicates(docs, shingle_words=5, percent=80), "groups"))
+    return without_copies(docs, shingle_words=5, percent=80)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

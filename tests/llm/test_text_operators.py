@@ -192,6 +192,17 @@ def test_one_of_each_group_stays(docs):
     assert set(known) == {r["component_id"] for r in near_duplicates(docs, 4, 80).collect()} - {None}
 
 
+def test_stage_keeps_unlinked_texts_of_repeated_and_null_ids(spark, frame):
+    import corpus_pipeline as P
+    a, b, c, d, e = (" ".join(f"{x}{n}" for n in range(40)) for x in "abcde")
+    df = frame([(1, a), (1, b), (None, a), (2, b + " more"), (None, c), (None, c), (3, d), (3, d), (4, e), (5, ""), (6, None)])
+    left = P.near_dedup(spark, df, "")
+    assert left.columns == df.columns
+    got = left.collect()
+    assert Counter((r["text"] or "").removesuffix(" more") for r in got) == Counter([a, b, c, d, e, "", ""])
+    assert all(tuple(r) in set(map(tuple, df.collect())) for r in got)
+
+
 def test_superminhash_estimates_similarity():
     r = np.random.default_rng(1)
     pool = r.integers(0, 1 << 62, 3000).astype(np.uint64)
