@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as queries over the given tables."""
+"""The corpus operators as queries over the given tables."""
 
 from __future__ import annotations
 
@@ -210,3 +210,43 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cohortlens.llm.weak_quality import score_quality
 
     return score_quality(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, doc_id, list_transform(
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+    lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS t
+  FROM documents
+), s AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(t)) AS BIGINT) AS length FROM d WHERE len(t) > 0
+), i AS (
+  SELECT row_number() OVER () AS item, item_id, list_distinct(list_transform(
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+    lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS t
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), q AS (SELECT item, unnest(t) AS term FROM i),
+p AS (
+  SELECT doc, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc, unnest(t) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY doc, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM p CROSS JOIN s GROUP BY term, docs
+), m AS (SELECT doc, doc_id, 100 - 90 + ((90 * len(t) * docs) // length) AS m FROM d CROSS JOIN s WHERE len(t) > 0),
+x AS (
+  SELECT item, doc, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (doc) GROUP BY item, doc
+), r AS (
+  SELECT item, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank,
+         doc_id, score
+  FROM x JOIN m USING (doc) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r JOIN i USING (item) WHERE rank <= 10
+"""
+
+
+@query("op12_lexical_search", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.llm.lexical_search import rank_documents
+
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
