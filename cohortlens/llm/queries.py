@@ -250,3 +250,46 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cohortlens.llm.lexical_search import rank_documents
 
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, * FROM (
+    SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+), s AS (
+  SELECT a.r AS anchor, b.r AS other, a.id AS anchor_id, b.id, a.label = b.label AS same,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id AND len(a.q) = len(b.q)
+), p AS (
+  SELECT anchor, anchor_id, id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, other) AS place
+  FROM s WHERE same QUALIFY place <= 5
+), n AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor, place ORDER BY s.score DESC, s.id, other) AS INT) AS rank
+  FROM p JOIN s USING (anchor)
+  WHERE NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+@query("op11_hard_negatives", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.llm.hard_negatives import mine_hard_negatives, vectors_of
+
+    vectors = vectors_of(table(spark, sf_dir, "embeddings"), "vec_id",
+                         "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END", "embedding", scale=256)
+    return mine_hard_negatives(vectors, "id % 100 = 0", positives=5, negatives=5, lower=80, upper=100)
+
+
+@query("op13_personal_data")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.llm.personal_data import find_personal_data, personal_digest, train
+
+    docs = table(spark, sf_dir, "documents")
+    return personal_digest(find_personal_data(docs, train(docs)))
