@@ -33,8 +33,8 @@ SAMPLE_TILES, TILE = 1024, 96
 WINDOW, MARGIN = 256, 16
 STRIDE = WINDOW - 2 * MARGIN
 OTHER, PAD = 128, 129  # symbols: ASCII, any other code point, past the end
-SIZE, EMBED = 8, 8
-EPOCHS, BATCH, RATE = 10, 64, 0.02
+SIZE, EMBED = 12, 12
+EPOCHS, BATCH, RATE = 15, 64, 0.02
 SPANS = "array<struct<kind:string,start:int,end:int,added:boolean>>"
 
 _LOCAL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@")
@@ -428,7 +428,7 @@ def find_personal_data(docs: DataFrame, model: Tagger | None) -> DataFrame:
     any length are read whole; other columns are ignored; no rows give no rows.  Without a model
     there are rule spans only."""
     return arrow_map(docs.select("doc_id", "text"), _found(model), S.StructType(
-        [S.StructField("doc_id", docs.schema["doc_id"].dataType)]).add("spans", SPANS))
+        [S.StructField("doc_id", docs.schema["doc_id"].dataType)]).add("spans", S.DataType.fromDDL(SPANS)))
 
 
 def _joined(spans: Column) -> Column:
