@@ -5,6 +5,7 @@
     python -m cohortlens run    --tables out/tables lang_trend salary_country ...
     python -m cohortlens run    --tables out/tables --out out/reports lang_trend
     python -m cohortlens sql    --tables out/tables "SELECT survey_year, count(*) FROM responses GROUP BY 1"
+    python -m cohortlens audit  --tables out/tables
     python -m cohortlens list
 
 Reports use the published thresholds (the functions' defaults).  ``--tables`` should
@@ -20,11 +21,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.operators.cleaning import clean as clean_view
-from cohortlens.plans import quality, remote, roles, salary, trends
+from cohortlens.plans import audit, quality, remote, roles, salary, trends
 from cohortlens.sources import survey_csv
-from cohortlens.sources.store import read_table, register_views, write_tables
+from cohortlens.sources.staging import staged
+from cohortlens.sources.store import read_buckets, read_table, register_views, write_tables
 
-TABLES = ("responses", "responses_clean", "lang_exploded", "db_exploded")
+TABLES = ("responses", "responses_clean", "lang_exploded", "db_exploded", "lang_usage")
 
 
 class Tables:
@@ -36,11 +38,14 @@ class Tables:
             raise AttributeError(name)
         return read_table(self.spark, self.root, name)
 
+    def bucketed(self, name: str) -> DataFrame:
+        return read_buckets(self.spark, self.root, name)
+
 
 REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
     "sanity_rows_per_year": lambda t: quality.rows_per_year(t.responses),
     "sanity_null_pct": lambda t: quality.null_salary_pct(t.responses),
-    "v_row_reconcile": lambda t: quality.row_reconcile(t.responses, t.responses_clean),
+    "v_row_reconcile": lambda t: quality.row_reconcile(t.bucketed("responses"), t.bucketed("responses_clean")),
     "v_outliers": lambda t: quality.outliers(t.responses_clean),
     "v_remote_dist": lambda t: quality.remote_distribution(t.responses_clean),
     "v_remote_unmatched": lambda t: quality.remote_unmatched(t.responses_clean),
@@ -53,9 +58,9 @@ REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
     "v_other_top20": lambda t: quality.employment_other_top(t.responses_clean),
     "v_org_size": lambda t: quality.org_size_coverage(t.responses_clean),
     "salary_summary": lambda t: salary.salary_summary(t.responses),
-    "lang_trend": lambda t: trends.lang_trend(t.responses_clean, t.lang_exploded),
-    "lang_endpoints": lambda t: trends.lang_endpoints(t.responses_clean, t.lang_exploded),
-    "lang_desire_gap": lambda t: trends.lang_desire_gap(t.responses_clean, t.lang_exploded),
+    "lang_trend": lambda t: trends.lang_trend(t.responses_clean, t.lang_exploded, usage=t.lang_usage),
+    "lang_endpoints": lambda t: trends.lang_endpoints(t.responses_clean, t.lang_exploded, usage=t.lang_usage),
+    "lang_desire_gap": lambda t: trends.lang_desire_gap(t.responses_clean, t.lang_exploded, usage=t.lang_usage),
     "salary_country": lambda t: salary.salary_country(t.responses_clean),
     "salary_experience": lambda t: salary.salary_experience(t.responses_clean),
     "salary_quartile_mix": lambda t: salary.salary_quartile_mix(t.responses_clean),
@@ -96,6 +101,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--tables", required=True)
     p.add_argument("--out", help="write each report as a CSV folder here and print nothing")
     p.add_argument("reports", nargs="+", choices=sorted(REPORTS))
+    p = sub.add_parser("audit", help="every audit report from one pass over the panel")
+    p.add_argument("--tables", required=True)
+    p.add_argument("--out", help="write each report as a CSV folder here and print nothing")
     p = sub.add_parser("sql", help="run a query over the tables by name")
     p.add_argument("--tables", required=True)
     p.add_argument("--out", help="write the result as a CSV folder here")
@@ -114,6 +122,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         quality.null_salary_pct(t.responses).show()
     elif args.cmd == "clean":
         print(f"responses_clean: {clean_view(Tables(spark, args.tables).responses).count():,} rows")
+    elif args.cmd == "audit":
+        counts = staged(audit.audit_counts(Tables(spark, args.tables).responses_clean), "audit")
+        for name, report in audit.audit_reports(counts).items():
+            _give(report, args.out and f"{args.out.rstrip('/')}/{name}", name)
     elif args.cmd == "sql":
         register_views(spark, args.tables)
         _give(spark.sql(args.query), args.out, "sql")

@@ -38,10 +38,14 @@ def ntile_mix(df: DataFrame, bucket_group: Sequence[str], order: Sequence[str],
               report_group: Sequence[str], shares: dict[str, int], dp: int = 1) -> DataFrame:
     """Bucket rows by NTILE(k) within ``bucket_group``, then per ``report_group``: row count and
     the percent of rows in each bucket named in ``shares`` (name -> bucket)."""
-    b = ntile(df, list(bucket_group), list(order), k, "_bucket")
-    return b.groupBy(*report_group).agg(
+    return bucket_mix(ntile(df, list(bucket_group), list(order), k, "_bucket"), "_bucket", report_group, shares, dp)
+
+
+def bucket_mix(df: DataFrame, bucket: str, report_group: Sequence[str], shares: dict[str, int], dp: int = 1) -> DataFrame:
+    """Per ``report_group``: row count and the percent of rows in each bucket named in ``shares``."""
+    return df.groupBy(*report_group).agg(
         _count().alias("total_n"),
-        *[F.round(percent(F.sum(F.when(F.col("_bucket") == q, 1).otherwise(0)), _count()), dp).alias(name)
+        *[F.round(percent(F.sum(F.when(F.col(bucket) == q, 1).otherwise(0)), _count()), dp).alias(name)
           for name, q in shares.items()],
     )
 

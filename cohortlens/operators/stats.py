@@ -25,15 +25,18 @@ def _cols(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def adoption_rate(long: DataFrame, base: DataFrame, period: str, item: str, entity: str,
-                  dp: int = 2, count_name: str = "user_count", pct_name: str = "adoption_pct") -> DataFrame:
+def adoption_rate(long: DataFrame | None, base: DataFrame, period: str, item: str, entity: str,
+                  dp: int = 2, count_name: str = "user_count", pct_name: str = "adoption_pct",
+                  counts: DataFrame | None = None) -> DataFrame:
     """Distinct entities per (period, item) over the per-period base count, in percent.
+    ``counts`` (period, item, ``count_name``) takes the place of ``long`` where they are stored.
 
     ``base`` is one row per entity-period eligible for the denominator.  The denominator
     is one row per period, so it is joined by broadcast (its size is the number of
     periods, not of respondents)."""
     totals = base.groupBy(period).agg(F.count(F.lit(1)).alias("_total"))
-    counts = long.groupBy(period, item).agg(F.countDistinct(entity).alias(count_name))
+    if counts is None:
+        counts = long.groupBy(period, item).agg(F.countDistinct(entity).alias(count_name))
     return (
         counts.join(F.broadcast(totals), period)
         .select(period, item, F.col(count_name), F.col("_total").alias("total_respondents"),

@@ -136,6 +136,32 @@ _state("v_org_size", """
 SELECT org_size AS raw_value, max(place) AS org_size_order, count(*) AS n
 FROM responses LEFT JOIN size_place ON name = org_size WHERE org_size IS NOT NULL GROUP BY org_size""")
 
+
+
+def _long(name: str, label: str, *measures: str, year: bool = False) -> str:
+    """The rows of an audit's own text, one for each measure."""
+    body = ORACLE_SQL[name]
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{name}' AS report, {'survey_year' if year else 'CAST(NULL AS INTEGER) AS survey_year'},
+       CAST({label or 'NULL'} AS VARCHAR) AS label, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM ({body})"""
+        for m in measures)
+
+
+ORACLE_SQL["audit_reports"] = "WITH every AS (\n" + "\nUNION ALL\n".join([
+    _long("sanity_rows_per_year", "", "n", year=True), _long("sanity_null_pct", "", "pct_null", year=True),
+    _long("clean_row_count", "", "n_rows"),
+    _long("v_outliers", "", "raw_with_salary", "clean_with_salary", "outliers_removed", "pct_removed", year=True),
+    _long("v_remote_dist", "remote_work_clean", "n", "pct_of_year", year=True),
+    _long("v_remote_unmatched", "unmatched_raw_value", "n", year=True),
+    _long("v_education_dist", "ed_level_clean", "n", "pct_total"),
+    _long("v_education_unmatched", "unmatched_raw_value", "n"),
+    _long("v_exp_dist", "exp_bracket", "n", "avg_yrs", "pct_total"),
+    _long("v_exp_coverage", "", "has_years_code_pro", "has_work_exp", "has_experience_years", year=True),
+    _long("v_ai_dist", "ai_user", "n", "pct_of_year", year=True),
+    _long("v_employment_dist", "employment_clean", "n", "pct_total"),
+    _long("v_other_top20", "raw_value", "n"), _long("v_org_size", "raw_value", "org_size_order", "n"),
+]) + ") SELECT * FROM every"
+
 # ------------------------------------------------------------ salaries
 _PAID = """, paid AS (SELECT *, salary_usd_yearly_clean AS pay FROM responses_clean
                       WHERE employment_clean = 'Employed FT' AND salary_usd_yearly_clean > 0)

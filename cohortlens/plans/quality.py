@@ -26,17 +26,25 @@ def clean_row_count(clean: DataFrame) -> DataFrame:
 
 def row_reconcile(responses: DataFrame, clean: DataFrame) -> DataFrame:
     """Raw rows per year against matching cleaned rows, with LEFT JOIN semantics (a key
-    repeated on both sides fans out).  Both sides are first counted per key, so the join
-    carries one row per key and side: a key held by a large share of rows neither
+    repeated on both sides fans out).  Both sides are first counted per respondent and year, so
+    the join carries one row per respondent and side: a key held by a large share of rows neither
     multiplies rows nor lands its rows in one task.  raw = sum(l * max(r, 1)),
-    clean = sum(l * r); a NULL key never matches, as in SQL."""
-    keys = ["response_id", YEAR]
-    left = responses.groupBy(*keys).agg(F.count(F.lit(1)).alias("_l"))
-    right = clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("_r"))
-    joined = left.join(right, keys, "left")
-    return joined.groupBy(YEAR).agg(
-        F.sum(F.col("_l") * F.coalesce(F.col("_r"), F.lit(1))).alias("raw_rows"),
-        F.sum(F.col("_l") * F.coalesce(F.col("_r"), F.lit(0))).alias("clean_rows"),
+    clean = sum(l * r); a NULL key never matches, as in SQL.
+
+    Grouping and joining are by respondent alone, the years being a short list in the row, so
+    over tables bucketed by respondent nothing is shuffled before the last sums by year."""
+    def by_respondent(df: DataFrame, name: str) -> DataFrame:
+        counted = df.groupBy("response_id", YEAR).agg(F.count(F.lit(1)).alias("n"))
+        return counted.groupBy("response_id").agg(F.collect_list(F.struct(YEAR, "n")).alias(name))
+
+    both = by_respondent(responses, "_l").join(by_respondent(clean, "_r"), "response_id", "left")
+    rows = both.select("_r", F.explode("_l").alias("_one"))
+    year = F.col(f"_one.{YEAR}")
+    same = F.filter(F.coalesce("_r", F.array()), lambda r: r[YEAR] == year)
+    matched = F.aggregate(same, F.lit(0).cast("long"), lambda t, r: t + r["n"])
+    return rows.select(year.alias(YEAR), F.col("_one.n").alias("_l"), matched.alias("_r")).groupBy(YEAR).agg(
+        F.sum(F.col("_l") * F.greatest("_r", F.lit(1))).alias("raw_rows"),
+        F.sum(F.col("_l") * F.col("_r")).alias("clean_rows"),
     ).orderBy(YEAR)
 
 

@@ -1,8 +1,8 @@
 """Salary jobs: country percentiles, experience premium, role mix over quartiles.
 
 Percentiles are exact (``operators.ordinal``): positions are found by counting blocks of
-values, so a country or year holding a large share of respondents is not gathered into one
-task, and ties cost nothing.
+values in two scans, so a country or year holding a large share of respondents is not gathered
+into one task, and ties cost nothing.
 Predicates on the cleaned columns reach the parquet reader because the cleaning view is
 materialised by the ingest step.
 """
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.rules import non_blank
 from cohortlens.operators.cleaning import bracket_order
-from cohortlens.operators.distribution import ntile_mix, percentile_stats
+from cohortlens.operators.distribution import bucket_mix, percentile_stats
+from cohortlens.operators.ordinal import ntile
 from cohortlens.operators.stats import gap_to_baseline, period_delta, rank_within, topk_keys, topk_semi
 
 YEAR = "survey_year"
@@ -70,9 +71,11 @@ def salary_quartile_mix(clean: DataFrame, min_n: int = 50, first_year: int = 202
         .select(YEAR, "response_id", "dev_type_primary", "salary")
     )
     shares = {"pct_in_top_quartile": 4, "pct_in_bottom_quartile": 1}
-    # the quartiles rank within the year, the median within (year, role)
-    mix = ntile_mix(rows, [YEAR], ["salary", "response_id"], 4, [YEAR, "dev_type_primary"], shares)
-    med = percentile_stats(rows, [YEAR, "dev_type_primary"], probs=(0.5,), names=("median_salary",), n_name="_n2")
+    # the quartiles rank within the year, the median within (year, role); both read the written
+    # table of ranked rows, so the panel is read for that table only
+    ranked = ntile(rows, [YEAR], ["salary", "response_id"], 4, "quartile")
+    mix = bucket_mix(ranked, "quartile", [YEAR, "dev_type_primary"], shares)
+    med = percentile_stats(ranked, [YEAR, "dev_type_primary"], probs=(0.5,), names=("median_salary",), n_name="_n2")
     out = mix.join(med, [YEAR, "dev_type_primary"])
     out = out.where(F.col("total_n") >= min_n)
     out = rank_within(out, YEAR, "median_salary", "rank_by_median")

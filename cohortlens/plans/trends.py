@@ -1,4 +1,8 @@
-"""Language adoption jobs: trend with year-over-year change, endpoint movers, desire gap."""
+"""Language adoption jobs: trend with year-over-year change, endpoint movers, desire gap.
+
+The jobs share one stored aggregate, ``lang_usage``: who uses and who wants each language in
+each year, as bitmaps of respondents (``language_usage``).  With it they read neither the
+exploded answers nor the answer lists; without it the same counts come from the rows."""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.rules import non_blank
+from cohortlens.operators.bitmaps import distinct_bitmaps, distinct_counts
 from cohortlens.operators.stats import (
     adoption_rate, endpoint_compare, percent, period_delta, rank_within,
 )
@@ -13,22 +18,40 @@ from cohortlens.operators.stats import (
 YEAR = "survey_year"
 
 
-def language_rates(clean: DataFrame, lang_exploded: DataFrame) -> DataFrame:
+def _wanted(clean: DataFrame) -> DataFrame:
+    """(survey_year, response_id, language): each wanted language of each answer list."""
+    return clean.where(F.col("lang_want").isNotNull()).select(
+        YEAR, "response_id", F.explode(F.split("lang_want", ";", -1)).alias("_tok")).select(
+        YEAR, "response_id", F.trim("_tok").alias("language"))
+
+
+def language_usage(clean: DataFrame, lang_exploded: DataFrame) -> DataFrame:
+    """(survey_year, language, kind, bucket, bits): respondents who use (kind ``used``) or want
+    (``wanted``) a language.  Blank languages are in it as they are in the answers."""
+    used = lang_exploded.select(YEAR, "response_id", "language", F.lit("used").alias("kind"))
+    wanted = _wanted(clean).withColumn("kind", F.lit("wanted"))
+    return distinct_bitmaps(used.unionByName(wanted), [YEAR, "language", "kind"], "response_id")
+
+
+def language_rates(clean: DataFrame, lang_exploded: DataFrame, usage: DataFrame | None = None) -> DataFrame:
     """(survey_year, language, user_count, total_respondents, adoption_pct).
 
     Denominator: respondents who answered the language question that year; numerator:
     distinct respondents naming the (non-blank) language."""
     base = clean.where(F.col("lang_worked").isNotNull()).select(YEAR, "response_id")
+    if usage is not None:
+        return adoption_rate(None, base, YEAR, "language", "response_id", dp=2, counts=distinct_counts(
+            usage, [YEAR, "language"], "user_count", when=(F.col("kind") == "used") & non_blank("language")))
     long = lang_exploded.where(non_blank("language"))
     return adoption_rate(long, base, YEAR, "language", "response_id", dp=2)
 
 
 def lang_trend(clean: DataFrame, lang_exploded: DataFrame, min_pct: float = 5.0,
-               min_years: int = 3) -> DataFrame:
+               min_years: int = 3, usage: DataFrame | None = None) -> DataFrame:
     """Adoption per language and year with previous / next year's rate, the change and
     the rank within the year (over all languages); then only languages at or above
     ``min_pct`` in at least ``min_years`` distinct years are kept."""
-    rates = language_rates(clean, lang_exploded)
+    rates = language_rates(clean, lang_exploded, usage)
     trend = period_delta(rates, "language", YEAR, "adoption_pct", 2,
                          prev_name="prev_year_pct", delta_name="yoy_change_pp",
                          next_name="next_year_pct")
@@ -48,27 +71,27 @@ def lang_trend(clean: DataFrame, lang_exploded: DataFrame, min_pct: float = 5.0,
 
 
 def lang_endpoints(clean: DataFrame, lang_exploded: DataFrame, first: int = 2021,
-                   last: int = 2025, floor: float = 3.0) -> DataFrame:
+                   last: int = 2025, floor: float = 3.0, usage: DataFrame | None = None) -> DataFrame:
     """Adoption in the first and last year side by side, for languages present in both
     with at least ``floor`` percent in either; change and direction."""
-    rates = language_rates(clean, lang_exploded)
+    rates = language_rates(clean, lang_exploded, usage)
     return endpoint_compare(rates, "language", YEAR, "adoption_pct", first, last, floor).orderBy(
         F.col("total_change_pp").desc())
 
 
-def lang_desire_gap(clean: DataFrame, lang_exploded: DataFrame, min_mentions: int = 500) -> DataFrame:
+def lang_desire_gap(clean: DataFrame, lang_exploded: DataFrame, min_mentions: int = 500,
+                    usage: DataFrame | None = None) -> DataFrame:
     """Percent of respondents wanting vs using each language, the gap, and its rank per
     year; pairs with ``used + wanted <= min_mentions`` are dropped before ranking."""
     totals = clean.where(F.col("lang_worked").isNotNull()).groupBy(YEAR).agg(
         F.count(F.lit(1)).alias("total"))
-    used = lang_exploded.where(non_blank("language")).groupBy(YEAR, "language").agg(
-        F.countDistinct("response_id").alias("used_count"))
-    wanted = (
-        clean.where(F.col("lang_want").isNotNull())
-        .select(YEAR, "response_id", F.explode(F.split("lang_want", ";", -1)).alias("_tok"))
-        .groupBy(YEAR, F.trim("_tok").alias("language"))
-        .agg(F.countDistinct("response_id").alias("want_count"))
-    )
+    if usage is not None:
+        used = distinct_counts(usage, [YEAR, "language"], "used_count", when=(F.col("kind") == "used") & non_blank("language"))
+        wanted = distinct_counts(usage, [YEAR, "language"], "want_count", when=F.col("kind") == "wanted")
+    else:
+        used = lang_exploded.where(non_blank("language")).groupBy(YEAR, "language").agg(
+            F.countDistinct("response_id").alias("used_count"))
+        wanted = _wanted(clean).groupBy(YEAR, "language").agg(F.countDistinct("response_id").alias("want_count"))
     pct_use = percent("used_count", "total")
     pct_want = percent("want_count", "total")
     joined = (

@@ -8,27 +8,34 @@ Tables (all partitioned by ``survey_year``, so year predicates prune directories
                   the parquet reader)
   lang_exploded   (survey_year, response_id, language)
   db_exploded     (survey_year, response_id, database)
+  lang_usage      (survey_year, language, kind, bucket, bits): respondents as bitmaps
 
 Tables go under the session's checkpoint folder (``spark.checkpoint.dir``), which on a
-cluster is shared storage; writes are full-refresh overwrites, so a retried job is
-idempotent, and reading them back cuts the lineage to the source tables.
+cluster is shared storage; a refresh writes a new version of all tables and publishes it at
+once, so a retried job is idempotent, and reading them back cuts the lineage to the source
+tables.
 """
 
 from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from cohortlens.operators.cleaning import CLEAN_COLUMNS, with_derived
 from cohortlens.operators.explode import explode_multival
-from cohortlens.schema import RESPONSE_COLUMNS
+from cohortlens.plans.trends import language_usage
+from cohortlens.schema import RESPONSE_COLUMNS, responses_schema
 from cohortlens.session import checkpoint_root, remove_at_exit
+from cohortlens.sources import versions
 from cohortlens.sources.panel import survey_panel
 
 _lock = threading.Lock()
 _built: dict[tuple[str, str], str] = {}
+_frames: dict[tuple[str, str], DataFrame] = {}
 
 EXPLODED_COLUMNS = {
     "lang_exploded": ("survey_year", "response_id", "language"),
@@ -36,39 +43,99 @@ EXPLODED_COLUMNS = {
 }
 
 
+def _schema(spark: SparkSession, folder: str) -> T.StructType:
+    """The columns of a written table; stated, so that a table without rows has them too."""
+    if folder == "panel":
+        return with_derived(spark.createDataFrame([], responses_schema())).schema
+    if folder == "lang_usage":
+        return T.StructType.fromDDL("survey_year int, language string, kind string, bucket bigint, bits binary")
+    return T.StructType.fromDDL(f"survey_year int, response_id bigint, {EXPLODED_COLUMNS[folder][-1]} string")
+
+
 def table_columns(name: str) -> tuple[str, ...]:
     if name == "responses":
         return RESPONSE_COLUMNS
     if name == "responses_clean":
         return CLEAN_COLUMNS
+    if name == "lang_usage":
+        return ("survey_year", "language", "kind", "bucket", "bits")
     return EXPLODED_COLUMNS[name]
 
 
 def write_tables(responses: DataFrame, out_dir: str) -> dict[str, tuple[str, ...]]:
     """Full-refresh write of the ingest outputs derived from a ``responses`` frame.
 
-    ``panel`` holds every raw column plus the nine derived ones, written once;
-    ``responses`` and ``responses_clean`` are column projections of it (parquet reads
-    only the projected columns), so the raw rows are not stored twice.  The long
-    tables are derived from the written copy, so the source plan runs once.
-    Returns each table's column order."""
+    ``panel`` holds every raw column plus the nine derived ones, written once, bucketed and
+    sorted by respondent, so that readers join and group by respondent without a shuffle (as many
+    buckets as the session has shuffle partitions); ``responses`` and ``responses_clean`` are column projections of it
+    (parquet reads only the projected columns), so the raw rows are not stored twice.  The long
+    tables are derived from the written copy, so the source plan runs once, and ``lang_usage``
+    keeps the distinct respondents of each language for the adoption jobs.
+
+    All tables are written under a new version and published together by one new file, whose
+    creation the file system does at once: a reader sees the old tables or the new ones, never a
+    mix, and a refresh that fails leaves the old ones in force.  The version before stays for
+    readers still at work; older ones are deleted.  Returns each table's column order."""
     spark = responses.sparkSession
-    def save(df: DataFrame, folder: str) -> None:
+    root = out_dir.rstrip("/")
+    version = versions.new(spark, root)
+    _save_buckets(with_derived(responses), versions.folder(root, "panel", version))
+    stored = _read(spark, root, "panel", version)
+    for name, source in (("lang_exploded", "lang_worked"), ("db_exploded", "db_worked")):
+        long = explode_multival(stored, source, EXPLODED_COLUMNS[name][-1])
         # rebalanced by year: a task's rows go to one year's folder, in files of the advisory size
-        df.hint("rebalance", "survey_year").write.mode("overwrite").partitionBy("survey_year").parquet(
-            f"{out_dir}/{folder}")
-
-    save(with_derived(responses), "panel")
-    stored = spark.read.parquet(f"{out_dir}/panel")
-    save(explode_multival(stored, "lang_worked", "language"), "lang_exploded")
-    save(explode_multival(stored, "db_worked", "database"), "db_exploded")
+        long.hint("rebalance", "survey_year").write.partitionBy("survey_year").parquet(
+            versions.folder(root, name, version))
+    written = _read(spark, root, "lang_exploded", version)
+    language_usage(stored, written).write.partitionBy("survey_year").parquet(versions.folder(root, "lang_usage", version))
+    versions.publish(spark, root, version, ("panel", *EXPLODED_COLUMNS, "lang_usage"))
     return {n: table_columns(n) for n in ("responses", "responses_clean", *EXPLODED_COLUMNS)}
 
 
+def _save_buckets(panel: DataFrame, folder: str) -> None:
+    """The panel as Parquet, by year and respondent bucket.  Only catalog tables have buckets, so
+    the folder is written through a catalog name that is dropped again; the files stay, with a
+    note of the number of buckets."""
+    spark = panel.sparkSession
+    name, buckets = f"cohortlens_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # rebalanced by respondent: a task's rows are one bucket, or a share of a large one
+    dealt = panel.hint("rebalance", buckets, "response_id")
+    (dealt.write.format("parquet").partitionBy("survey_year").bucketBy(buckets, "response_id").sortBy("response_id")
+     .option("path", folder).saveAsTable(name))
+    spark.sql(f"DROP TABLE {name}")
+    versions.note(spark, folder, f"buckets_{buckets}")
+
+
+def _read(spark: SparkSession, root: str, folder: str, version: str) -> DataFrame:
+    return spark.read.schema(_schema(spark, folder)).parquet(versions.folder(root, folder, version))
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One of the four tables from a folder written by ``write_tables``."""
+    """One of the tables from a folder written by ``write_tables``, in the version now
+    published."""
     folder = "panel" if name in ("responses", "responses_clean") else name
-    return spark.read.parquet(f"{root.rstrip('/')}/{folder}").select(*table_columns(name))
+    root = root.rstrip("/")
+    version = versions.current(spark, root)
+    key = (spark.sparkContext.applicationId, versions.folder(root, folder, version))
+    with _lock:
+        if key not in _frames:  # a version's files never change: list them once
+            _frames[key] = _read(spark, root, folder, version)
+    return _frames[key].select(*table_columns(name))
+
+
+def read_buckets(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """``responses`` or ``responses_clean`` as ``read_table`` gives it, with its buckets known to
+    the optimizer."""
+    root, columns = root.rstrip("/"), table_columns(name)
+    folder = versions.folder(root, "panel", versions.current(spark, root))
+    (buckets,) = (n.split("_")[1] for n in versions.notes(spark, folder) if n.startswith("buckets_"))
+    name = "cohortlens_" + hashlib.sha1(folder.encode()).hexdigest()[:16]
+    if not spark.catalog.tableExists(name):
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _schema(spark, "panel"))
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet PARTITIONED BY (survey_year) "
+                  f"CLUSTERED BY (response_id) SORTED BY (response_id) INTO {buckets} BUCKETS LOCATION '{folder}'")
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    return spark.table(name).select(*columns)
 
 
 class PanelStore:
@@ -97,12 +164,18 @@ class PanelStore:
     def clean(self) -> DataFrame:
         return self.table("responses_clean")
 
+    def bucketed(self, name: str) -> DataFrame:
+        return read_buckets(self.spark, self.root, name)
+
     def lang_exploded(self) -> DataFrame:
         return self.table("lang_exploded")
 
     def db_exploded(self) -> DataFrame:
         return self.table("db_exploded")
 
+    def lang_usage(self) -> DataFrame:
+        return self.table("lang_usage")
+
     def register_views(self) -> list[str]:
         return register_views(self.spark, self.root)
 

@@ -6,10 +6,11 @@ and renames the mapped columns (NULL where the year lacks one), ``union_years``
 the years by name and ``coerce_numeric`` parses the numeric answers.  Missing-value
 tokens become NULL at the scan, as a default pandas read would do.
 
-Files are read in splits, also where a quoted answer holds line breaks: quotes are counted
-per split, a running count over the few splits of a file says whether a split begins inside
-a quoted answer, and lines are put together to records before they are parsed.  Each part
-file is parsed by its own header line, so parts may order their columns differently.
+All years' files are read together, in splits, also where a quoted answer holds line breaks: a
+light scan counts the quotes of each split, a running count over a file's splits says whether a
+split begins inside a quoted answer, and the task that reads a split puts its lines together to
+records.  Only pieces of records that cross a split's border are shuffled.  Each part file is
+parsed by its own header line, so parts may order their columns differently.
 
 ``write_year_files`` goes the other way: it renders a canonical table in each year's
 file layout (used to exercise the real-file path on data derived from the driver
@@ -24,15 +25,18 @@ import re
 import threading
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.functions.text import na_to_null_all, to_number
+from cohortlens.functions.text import na_tokens_sql, to_number
 from cohortlens.schema import (
     COLUMN_MAP, NUMERIC_COLUMNS, YEARS, canonical_type, responses_schema, source_columns,
 )
 from cohortlens.session import checkpoint_root, remove_at_exit
+from cohortlens.sources.staging import staged
 
 # The published files' name pattern, and how they spell out-of-range
 # experience answers.
@@ -94,55 +98,156 @@ def discover(spark: SparkSession, data_dir: str) -> tuple[int, ...]:
     return tuple(sorted(int(m[1]) for m in names if m))
 
 
-def records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, record, text): the records of CSV files, numbered from 1 (the header) in each file;
-    line breaks inside quotes stay in the text.
+def _split_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(value, file, block, open, leaves): the physical lines of the files, with whether a quoted
+    answer is open where the line's split begins (``open``) and ends (``leaves``): 1 or 0.
 
-    A split (at most ``spark.sql.files.maxPartitionBytes``) is the largest unit that one task
-    orders.  Per split there is a count of quotes and one of record starts; running sums over
-    a file's splits carry them on."""
+    A split is summarised by its number of quotes; a running count over a file's splits carries
+    the state on.  That table has a row for each split, as Spark's own list of them, and is
+    broadcast: lines are not shuffled and stay in order."""
     lines = spark.read.option("lineSep", "\n").text(paths).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"))
-    lines = lines.withColumn("quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
-    split = ["file", "block"]
-    ahead = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    above = Window.partitionBy(*split).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    so_far = Window.partitionBy(*split).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    nothing = F.lit(0).cast("long")
-    opened = lines.groupBy(*split).agg(F.sum("quotes").alias("n")).select(
-        *split, F.coalesce(F.sum("n").over(ahead), nothing).alias("open"))
-    marked = lines.join(opened, split).withColumn("begins", (
-        (F.col("open") + F.coalesce(F.sum("quotes").over(above), nothing)) % 2 == 0).cast("long"))
-    begun = marked.groupBy(*split).agg(F.sum("begins").alias("n")).select(
-        *split, F.coalesce(F.sum("n").over(ahead), nothing).alias("earlier"))
-    numbered = marked.join(begun, split).withColumn("record", F.col("earlier") + F.sum("begins").over(so_far))
-    whole = numbered.groupBy("file", "record").agg(
-        F.array_sort(F.collect_list(F.struct("block", "at", "value"))).alias("lines"))
-    text = F.array_join(F.transform("lines", lambda x: x["value"]), "\n")
-    return whole.select("file", "record", F.regexp_replace(text, "\r$", "").alias("text"))
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    upto = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    state = lines.groupBy("file", "block").agg(F.sum(quotes).alias("n")).select(
+        "file", "block", ((F.sum("n").over(upto) - F.col("n")) % 2).cast("int").alias("open"),
+        (F.sum("n").over(upto) % 2).cast("int").alias("leaves"))
+    return lines.join(F.broadcast(state), ["file", "block"], "left").select("value", "file", "block", "open", "leaves")
+
+
+def _put_together(layouts: dict[str, int], whole: bool):
+    """Lines of splits to records: those that lie within one split, or (``whole`` false) the
+    pieces of the others, at most two a split.  A file's first record, its header, is left out."""
+    def run(batches):
+        import pyarrow.compute as pc
+
+        split, inside, header, mine = None, 0, False, None
+        pending: list[pa.Array] = []  # the lines of the record that has not ended
+        begun = True  # whether it began in this split
+        out: list[tuple] = []
+
+        def joined(arrays):
+            return "\n".join(x for a in arrays for x in a.to_pylist())
+
+        def end(last: bool):
+            """The pending record ends, or its split does (``last``)."""
+            nonlocal header, pending, begun
+            unfinished = last and inside
+            if pending:
+                if whole and begun and not unfinished and not header:
+                    out.append(([mine], pa.array([joined(pending)])))
+                elif not whole and (unfinished or not begun):
+                    out.append((*split, mine, begun, header, joined(pending)))
+                header = False
+            pending, begun = [], True
+
+        def emit():
+            nonlocal out
+            if whole:
+                for kinds, texts in out:
+                    yield pa.RecordBatch.from_arrays([pa.array(kinds * len(texts), pa.int32()), texts.cast(pa.string())], ["layout", "text"])
+            elif out:
+                kinds = (pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                                                 ["file", "block", "layout", "begun", "header", "text"])
+            out = []
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            files, blocks = batch.column(1), batch.column(2).to_numpy()
+            moved = np.flatnonzero(blocks[1:] != blocks[:-1]) + 1
+            if len(blocks) > 1:
+                other = pc.not_equal(files.slice(1), files.slice(0, len(files) - 1)).to_numpy(zero_copy_only=False)
+                moved = np.union1d(moved, np.flatnonzero(other) + 1)
+            for i, j in zip([0, *moved.tolist()], [*moved.tolist(), batch.num_rows], strict=True):
+                here = (files[i].as_py(), int(blocks[i]))
+                if here != split:
+                    end(True)
+                    state = batch.column(3)[i].as_py()
+                    if state is None or here[0] not in layouts:
+                        raise RuntimeError(f"files or splits changed while they were read: {here}")
+                    split, inside, header, begun, mine = here, state, here[1] == 0, not state, layouts[here[0]]
+                lines = batch.column(0).slice(i, j - i)
+                quotes = pc.count_substring(lines, '"').to_numpy()
+                before = (inside + np.cumsum(quotes) - quotes) % 2
+                starts = np.flatnonzero(before == 0)
+                inside = int((inside + quotes.sum()) % 2)
+                if not len(starts):
+                    pending.append(lines)
+                    continue
+                if starts[0]:
+                    pending.append(lines.slice(0, starts[0]))
+                end(False)
+                skip = int(header and len(starts) > 1)
+                if skip:
+                    header = False
+                if whole and len(starts) > 1 + skip:
+                    first, last = int(starts[skip]), int(starts[-1])
+                    if last - first == len(starts) - 1 - skip:
+                        texts = lines.slice(first, last - first)
+                    else:
+                        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts[skip:].astype(np.int32)), lines), "\n")
+                    out.append(([mine], texts))
+                pending, begun = [lines.slice(int(starts[-1]))], True
+            yield from emit()
+        end(True)
+        yield from emit()
+
+    return run
+
+
+def records(spark: SparkSession, layouts: dict[str, int]) -> DataFrame:
+    """(layout, text): the records of CSV files without their headers; line breaks inside quotes
+    stay in the text.  ``layouts`` numbers each file's layout.
+
+    Records within a split are put together by the task that reads it.  Of those that cross a
+    border only the pieces are shuffled, at most two a split."""
+    lines = _split_lines(spark, list(layouts))
+    kept = lines.mapInArrow(_put_together(layouts, True), "layout int, text string")
+    pieces = lines.where("open = 1 or leaves = 1 or open is null").mapInArrow(
+        _put_together(layouts, False), "file string, block long, layout int, begun boolean, header boolean, text string")
+    upto = Window.partitionBy("file").orderBy("block", "begun").rowsBetween(Window.unboundedPreceding, 0)
+    crossing = pieces.withColumn("record", F.sum(F.col("begun").cast("int")).over(upto)).groupBy("file", "layout", "record").agg(
+        F.max("header").alias("header"), F.array_sort(F.collect_list(F.struct("block", "begun", "text"))).alias("parts"))
+    text = F.array_join(F.transform("parts", lambda x: x["text"]), "\n")
+    both = kept.unionByName(crossing.where("not header").select("layout", text.alias("text")))
+    return both.select("layout", F.regexp_replace("text", "\r$", "").alias("text")).where("text <> ''")
+
+
+def _scan(spark: SparkSession, data_dir: str, years) -> DataFrame:
+    """Every year's file (or folder of part files) in one scan: ``survey_year`` and all source
+    columns as text, missing-value tokens as NULL; a column that a part lacks is NULL there."""
+    numbered: dict[tuple[int, tuple[str, ...]], int] = {}
+    layouts: dict[str, int] = {}
+    for year in years:
+        for file, names in headers(spark, year_path(data_dir, year)).items():
+            layouts[file] = numbered.setdefault((year, tuple(names)), len(numbered))
+    rows = records(spark, layouts)
+    parsed, homes = [], {}
+    for (_, names), i in numbered.items():
+        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        parsed.append(F.when(F.col("layout") == i, F.from_csv("text", schema.simpleString(), CSV_PARSE_OPTIONS)).alias(f"_c{i}"))
+        for n in names:
+            homes.setdefault(n, []).append(F.col(f"_c{i}.`{n}`"))
+    year_of = F.element_at(F.array(*[F.lit(y) for y, _ in numbered]), F.col("layout") + 1)
+    wide = rows.select(year_of.cast("int").alias("_year"), *parsed)
+    text = wide.select("_year", *[F.coalesce(*cs).alias(n) for n, cs in homes.items()])
+    toks = na_tokens_sql()
+    return text.selectExpr("_year as survey_year", *[
+        f"CASE WHEN `{n}` IN ({toks}) THEN NULL ELSE `{n}` END AS `{n}`" for n in homes])
 
 
 def read_year(spark: SparkSession, data_dir: str, year: int) -> DataFrame:
     """One year's file (or folder of part files), every column as text, missing-value tokens as
     NULL; a column that a part lacks is NULL there."""
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for file, names in headers(spark, year_path(data_dir, year)).items():
-        layouts.setdefault(tuple(names), []).append(file)
-    frames = []
-    for names, files in layouts.items():
-        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        rows = records(spark, files).filter("record > 1 and text <> ''")
-        frames.append(rows.select(F.from_csv("text", schema.simpleString(), CSV_PARSE_OPTIONS).alias("c")).select("c.*"))
-    return na_to_null_all(union_years(frames))
+    return _scan(spark, data_dir, (year,)).drop("survey_year")
 
 
 def scan_years(spark: SparkSession, data_dir: str, years=YEARS) -> DataFrame:
     """Every year's file as scanned (text, source column names), tagged with its year and
     stacked by name; a column absent from a year's file is NULL for that year."""
-    frames = [read_year(spark, data_dir, y).select(F.lit(y).cast("int").alias("survey_year"), "*")
-              for y in years]
-    return union_years(frames)
+    return _scan(spark, data_dir, years)
 
 
 def harmonise(raw: DataFrame, year: int, column_map: dict = COLUMN_MAP) -> DataFrame:
@@ -160,6 +265,22 @@ def harmonise(raw: DataFrame, year: int, column_map: dict = COLUMN_MAP) -> DataF
     return raw.select(*cols)
 
 
+def harmonise_years(raw: DataFrame, years=YEARS, column_map: dict = COLUMN_MAP) -> DataFrame:
+    """``harmonise`` of rows of several years at once: ``survey_year`` and every canonical column
+    from the source column of the row's year."""
+    present = set(raw.columns)
+    year = F.col("survey_year")
+    cols: list[Column] = [year]
+    for canon, by_year in column_map.items():
+        sources: dict[str, list[int]] = {}
+        for y in years:
+            if by_year.get(y) in present:
+                sources.setdefault(by_year[y], []).append(y)
+        each = [F.when(year.isin(*ys), F.col(f"`{src}`")) for src, ys in sources.items()]
+        cols.append((F.coalesce(*each) if each else F.lit(None).cast("string")).alias(canon))
+    return raw.select(*cols)
+
+
 def union_years(frames: list[DataFrame]) -> DataFrame:
     """UNION ALL by column name (no de-duplication)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -184,8 +305,7 @@ def coerce_numeric(df: DataFrame, columns=NUMERIC_COLUMNS) -> DataFrame:
 
 def ingest(spark: SparkSession, data_dir: str, years=YEARS) -> DataFrame:
     """The canonical ``responses`` table from the yearly files (lazy)."""
-    frames = [harmonise(read_year(spark, data_dir, y), y) for y in years]
-    return coerce_numeric(union_years(frames))
+    return coerce_numeric(harmonise_years(scan_years(spark, data_dir, years), years))
 
 
 def _survey_text(canon: str, c: Column) -> Column:
@@ -234,49 +354,67 @@ def survey_files(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _sql_str(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
 def schema_profile(spark: SparkSession, data_dir: str, years=None, sample_rows: int = 5,
                    samples: int = 2) -> DataFrame:
     """One row per (year, source column): the file's column count, non-NULL cells over
     all rows, and up to ``samples`` non-NULL values among the ``sample_rows`` rows with
     the smallest response id ('ALL NULL' when none).  ``years``: those of the files found.
 
-    One scan of all files: non-NULL counts are one grouped aggregate; the sample rows
-    come from ``row_number() <= sample_rows`` per year, which Spark plans as a
-    map-side group limit, so no year is gathered into one task."""
+    One pass over the parsed rows: each task counts the cells and keeps its ``sample_rows`` first
+    rows of each year (ties by the cells), and the tasks' few rows are merged in two steps."""
     years = years or discover(spark, data_dir)
     layouts = {y: header_columns(spark, year_path(data_dir, y)) for y in years}
     raw = scan_years(spark, data_dir, years)
     cols = [c for c in raw.columns if c != "survey_year"]
-    counts = raw.groupBy("survey_year").agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)])
-    rid = to_number(F.col("ResponseId"))
-    first_rows = (
-        raw.withColumn("_rid", rid)
-        .withColumn("_rn", F.row_number().over(
-            Window.partitionBy("survey_year").orderBy(F.col("_rid").asc_nulls_last())))
-        .where(F.col("_rn") <= sample_rows)
-    )
-    picks = first_rows.groupBy("survey_year").agg(*[
-        F.sort_array(F.collect_list(F.struct(F.col("_rn"), F.col(f"`{c}`").alias("v")))).alias(f"s{i}")
-        for i, c in enumerate(cols)
-    ])
-    n = len(cols)
-    count_pairs = ", ".join(f"{_sql_str(c)}, n{i}" for i, c in enumerate(cols))
-    pick_pairs = ", ".join(f"{_sql_str(c)}, s{i}" for i, c in enumerate(cols))
-    long = counts.selectExpr("survey_year", f"stack({n}, {count_pairs}) AS (column_name, non_null)").join(
-        picks.selectExpr("survey_year", f"stack({n}, {pick_pairs}) AS (column_name, sample)"),
-        ["survey_year", "column_name"])
-    # keep each year's own columns (the union fills the others with NULL); the layout
+    row = "struct<late:boolean,rid:double,cells:array<string>>"
+    tasks = staged(raw.select("survey_year", to_number(F.col("ResponseId")).alias("_rid"), *[f"`{c}`" for c in cols]).mapInArrow(
+        _profiled(sample_rows), f"survey_year int, counts array<long>, firsts array<{row}>"), "profile")
+    merged = F.slice(F.array_sort(F.flatten(F.collect_list("firsts"))), 1, sample_rows)
+    firsts = tasks.groupBy("survey_year", F.pmod(F.xxhash64("firsts"), F.lit(MERGE_GROUPS))).agg(
+        merged.alias("firsts")).groupBy("survey_year").agg(merged.alias("firsts"))
+    counts = tasks.select("survey_year", F.posexplode("counts").alias("at", "n")).groupBy("survey_year", "at").agg(
+        F.sum("n").alias("non_null"))
+    # keep each year's own columns (the scan fills the others with NULL); the layout
     # table has one row per header column, a bound known from the headers themselves
     present = spark.createDataFrame(
-        [(y, c, len(cs)) for y, cs in layouts.items() for c in cs],
-        "survey_year int, column_name string, n_columns int")
-    vals = F.filter(F.transform("sample", lambda s: s["v"]), lambda v: v.isNotNull())
-    return long.join(F.broadcast(present), ["survey_year", "column_name"]).select(
+        [(y, c, len(cs), cols.index(c)) for y, cs in layouts.items() for c in cs],
+        "survey_year int, column_name string, n_columns int, at int")
+    found = counts.join(F.broadcast(present), ["survey_year", "at"]).join(firsts, "survey_year")
+    vals = F.filter(F.transform("firsts", lambda r: F.get(r["cells"], F.col("at"))), lambda v: v.isNotNull())
+    return found.select(
         "survey_year", "n_columns", "column_name", "non_null",
         F.when(F.size(vals) == 0, F.lit("ALL NULL")).otherwise(
             F.array_join(F.slice(vals, 1, samples), " | ")).alias("sample_values"),
     )
+
+
+#: Groups that the tasks' first rows are merged in before the last merge.
+MERGE_GROUPS = 64
+
+
+def _profiled(sample_rows: int):
+    """Per task and year: non-NULL cells by column, and the first rows by response id."""
+    def run(batches):
+        import pyarrow.compute as pc
+
+        counts: dict[int, np.ndarray] = {}
+        firsts: dict[int, pa.Table] = {}
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for year in pc.unique(batch.column(0)).to_pylist():
+                own = table.filter(pc.equal(table.column(0), year))
+                n = np.array([len(own) - c.null_count for c in own.columns[2:]])
+                counts[year] = counts.get(year, 0) + n
+                both = pa.concat_tables([firsts[year], own]) if year in firsts else own
+                order = [(str(i), "ascending") for i in range(1, both.num_columns)]
+                numbered = both.rename_columns([str(i) for i in range(both.num_columns)])
+                firsts[year] = both.take(pc.select_k_unstable(numbered, min(sample_rows, len(both)), order))
+        for year, kept in firsts.items():
+            rows = [{"late": r[1] is None, "rid": r[1], "cells": list(r[2:])} for r in
+                    zip(*[c.to_pylist() for c in kept.columns], strict=True)]
+            kind = pa.list_(pa.struct([("late", pa.bool_()), ("rid", pa.float64()), ("cells", pa.list_(pa.string()))]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([year], pa.int32()), pa.array([counts[year].tolist()], pa.list_(pa.int64())), pa.array([rows], kind)],
+                ["survey_year", "counts", "firsts"])
+
+    return run

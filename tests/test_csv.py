@@ -119,3 +119,43 @@ def test_profile_finds_the_years_by_the_file_names(spark, tmp_path):
     got = {(r.survey_year, r.column_name): (r.n_columns, r.non_null, r.sample_values)
            for r in csv.schema_profile(spark, str(tmp_path)).collect()}
     assert got == {(y, c): (2, n, v) for y in (2022, 2031) for c, n, v in [("ResponseId", 2, "1 | 2"), (f"Only{y}", 1, "x")]}
+
+
+def test_every_split_border_falls_somewhere_else(spark, tmp_path):
+    """The same file in splits of many sizes: borders inside quotes, between doubled quotes, at line
+    breaks, within and after the header; records longer than several splits; no last line break."""
+    notes = ['""', "a\n\n\nb", 'q"q', "\n" * 40, "plain", "x" * 300 + "\n" + "y" * 300, ""]
+    rows = [(i, notes[i % len(notes)], f"c{i}") for i in range(1, 60)]
+    text = '"Response\nId",Notes,Country\n' + "\n".join('{},"{}",{}'.format(i, t.replace('"', '""'), c) for i, t, c in rows)
+    folder = _year_file(tmp_path, 2023, part=text.replace('"Response\nId"', "ResponseId"))
+    want = {str(i): (t or None, c) for i, t, c in rows}
+    try:
+        for size in (7, 64, 129, 500, 1021):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            got = {r["ResponseId"]: (r["Notes"], r["Country"]) for r in csv.read_year(spark, folder, 2023).collect()}
+            assert got == want, size
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_lines_are_not_shuffled(spark, responses, tmp_path):
+    """Between the text scan and the parsed rows only pieces of crossing records are exchanged."""
+    csv.write_year_files(responses({"response_id": 1}), str(tmp_path))
+    plan = csv.ingest(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [value") <= 4  # lines and split states, for whole records and for pieces
+    assert "Window" in plan  # over splits and pieces
+
+
+def test_profile_orders_by_id_and_breaks_ties_by_the_cells(spark, tmp_path):
+    rows = "".join(f"{i},{'NA' if i % 2 else f'v{i}'}\n" for i in range(40, 0, -1)) + "2,b\n2,a\nx,late\n"
+    folder = _year_file(tmp_path, 2022, a="ResponseId,V\n" + rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = {r.column_name: (r.non_null, r.sample_values) for r in csv.schema_profile(spark, folder, samples=9).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {"ResponseId": (43, "1 | 2 | 2 | 2 | 3"), "V": (23, "a | b | v2")}

@@ -105,3 +105,52 @@ def test_no_task_reads_much_more_than_the_mean_of_a_tied_column(spark):
     assert counted.count() < 70_000
     (r,) = exact_percentiles(df, ["g"], "v", (0.25, 0.5), ["q", "m"]).collect()
     assert (r["_n"], r["q"], r["m"]) == (200_000, 5.0, 5.0) or r["m"] == pytest.approx(5.0, abs=5)
+
+
+def test_nan_and_infinity_have_their_place(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("n", v) for v in (1.0, 2.0, 9.0, 10.0, nan, nan)] + [("i", v) for v in (-inf, -inf, 3.0, inf, inf)] + [("o", nan)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", (0.0, 0.4, 0.5, 1.0), ["a", "b", "c", "d"]).collect()}
+    assert tuple(got["n"])[1:5] == (6, 1.0, 9.0, 9.5) and np.isnan(got["n"]["d"])
+    assert (got["i"]["_n"], got["i"]["a"], got["i"]["c"], got["i"]["d"]) == (5, -inf, 3.0, inf)
+    assert np.isnan(got["o"]["c"])
+    x = [-inf, -1.7e308, 0.0, 5e-324, 1.7e308, inf, nan]
+    blocks = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "i int, v double").select("i", block_of(F.col("v")).alias("b"))
+    order = [r["b"] for r in blocks.orderBy("i").collect()]
+    assert order == sorted(order) and len(set(order)) == len(x)
+
+
+def test_percentiles_read_their_rows_twice(spark, tmp_path):
+    """Once for the blocks (done when the frame is built), once more for the values of the blocks hit."""
+    frame(spark, SIZES, VALUES["spread"]).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    plan = exact_percentiles(rows, ["g"], "v", (0.1, 0.5, 0.9), ["a", "b", "c"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(str(tmp_path / "rows")) == 1
+    ranked = ntile(rows, ["g"], ["v", "rid"], 4, "q")._jdf.queryExecution().executedPlan().toString()
+    assert str(tmp_path / "rows") not in ranked
+
+
+def test_half_the_rows_on_one_value_are_dealt_evenly(spark, monkeypatch):
+    from cohortlens.operators import ordinal
+    written = {}
+    staged = ordinal.staged
+    monkeypatch.setattr(ordinal, "staged", lambda df, tag: written.setdefault(tag, staged(df, tag)))
+    df = spark.range(40_000).select((F.col("id") % 2).alias("g"), "id", F.when(
+        F.col("id") % 4 < 2, F.lit(5.0)).otherwise(F.col("id") * 1.0).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = ordinal.placed(df, ["g"], ["v", "id"])
+        sizes = [r["count"] for r in written["placed"].groupBy("_task").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    want = df.withColumn("p", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")) - 1)
+    assert want.join(rows, ["g", "id"]).where("p <> _pos or _n <> 20000").count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 7, 10, 11, 40, 41])
+def test_bucket_of_a_position_is_sparks(spark, n):
+    from cohortlens.operators.ordinal import bucket_at
+    df = spark.range(n).select("id", F.lit(n).cast("long").alias("n"), F.ntile(4).over(Window.orderBy("id")).alias("w"))
+    assert all(r["b"] == r["w"] for r in df.select(bucket_at(F.col("id"), 4, F.col("n")).alias("b"), "w").collect())

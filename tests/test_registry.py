@@ -14,7 +14,7 @@ PLANNED = {
     "v_other_top20", "v_org_size",
     "lang_trend", "lang_endpoints", "lang_desire_gap", "salary_country", "salary_experience",
     "salary_quartile_mix", "remote_share", "remote_salary", "remote_by_role", "role_rank_change",
-    "role_spread", "ai_salary", "role_headcount", "registered_views",
+    "role_spread", "ai_salary", "role_headcount", "registered_views", "audit_reports",
 }
 
 
