@@ -199,8 +199,8 @@ def _whole(value: int | None, over: float | None) -> int | None:
 
 
 def _vectors(column: pa.ChunkedArray, dims: int) -> np.ndarray:
-    flat = pa.concat_arrays([c.flatten() for c in column.chunks]) if column.num_chunks else pa.array([], pa.float64())
-    return flat.to_numpy(zero_copy_only=False).reshape(-1, dims) if dims else np.zeros((len(column), 0))
+    parts = [c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks if len(c)] if dims else []
+    return np.concatenate([*parts, np.zeros(0)]).reshape(len(column), dims)
 
 
 def search_part(cand: pa.Table, query: pa.Table, dims: int, k: int, lower: int, upper: int) -> pa.Table:
