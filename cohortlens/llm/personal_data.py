@@ -24,6 +24,7 @@ from pyspark.sql import types as S
 
 from cohortlens.llm import textops as T
 from cohortlens.llm.shipping import arrow_map
+from cohortlens.llm.staging import staged
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = len(KINDS) + 1  # 0: none
@@ -395,7 +396,7 @@ def train(docs: DataFrame, tiles: int = SAMPLE_TILES) -> Tagger | None:
     if not counts[0]:
         return None
     keep = [min(1.0, 4 * tiles / c) if c else 0.0 for c in counts]
-    drawn = arrow_map(text, _tiles(keep), "class int, hash long, symbols binary, tags binary").distinct()
+    drawn = staged(arrow_map(text, _tiles(keep), "class int, hash long, symbols binary, tags binary").distinct(), "tiles")
     rows = []
     for c in range(3):
         rows += drawn.filter(F.col("class") == c).orderBy("hash", "symbols", "tags").limit(tiles).collect()
