@@ -8,10 +8,11 @@ round that can no longer lower a slot, after a few rounds for all but short text
 
 Documents with equal shingle sets are one vertex.  Vertices with an equal band meet in a
 bucket.  A bucket first links each member with its smallest and its largest vertex only
-(verified on full sets).  Where a bucket's members then lie in several components, their
-signatures are compared in blocks of bounded size; members whose signatures could belong to
-linked documents form clusters, and a cluster's members of different components are compared
-on full sets, again in bounded blocks.  Both steps return forests, never all pairs.
+(verified on full sets).  Where a bucket's members then lie in several components, the
+signatures of those outside its largest component are compared with all in blocks of bounded
+size; members whose signatures could belong to linked documents form clusters, and a cluster's
+members of different components are compared on full sets in the same way.  Both steps return
+forests, never all pairs.
 """
 
 from __future__ import annotations
@@ -135,14 +136,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _blocks(members: DataFrame, key: str, rows: int) -> DataFrame:
-    """Deal the members of each ``key`` into blocks of about ``rows`` and repeat each member for
-    every pair (p, q) of blocks that has its own, ``mine``: bounded groups, all pairs meet."""
-    size = members.groupBy(key).agg(F.ceil(F.count("*") / rows).cast("int").alias("parts"))
-    mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    dealt = members.join(size, key).withColumn("mine", mine).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return dealt.withColumn("p", F.least("mine", "other")).withColumn("q", F.greatest("mine", "other")).drop(
-        "parts", "other")
+    """Deal the members (key, node, component, ...) of each ``key`` into bounded groups (key, p, q)
+    in which every two members of different components meet, one of them with ``left`` set.
+
+    Of a key's members those outside its largest component are the left side, all members the
+    right one; each side is cut into blocks of about ``rows``, and block p meets block q.  So the
+    members of the largest component are repeated only for each block of the others."""
+    sizes = members.groupBy(key, "component").agg(F.count(F.lit(1)).alias("n"))
+    plan = sizes.groupBy(key).agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all")).select(
+        key, F.col("top.component").alias("largest"), F.ceil(F.col("all") / rows).cast("int").alias("parts"),
+        F.ceil((F.col("all") - F.col("top.n")) / rows).cast("int").alias("others")).filter("others > 0")
+    dealt = members.join(plan, key)
+    mine = F.xxhash64("node")
+    right = F.struct(F.lit(False).alias("left"), F.pmod(mine, F.col("parts")).cast("int").alias("own"), F.col("others").alias("n"))
+    left = F.struct(F.lit(True).alias("left"), F.pmod(mine, F.col("others")).cast("int").alias("own"), F.col("parts").alias("n"))
+    sides = F.when(F.col("component") == F.col("largest"), F.array(right)).otherwise(F.array(left, right))
+    each = dealt.withColumn("side", F.explode(sides)).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("side.n") - 1)))
+    row = F.col("side.left")
+    return each.select(*members.columns, row.alias("left"), F.when(row, F.col("side.own")).otherwise(F.col("other")).alias("p"),
+                       F.when(row, F.col("other")).otherwise(F.col("side.own")).alias("q"))
 
 
 def _merge(label: np.ndarray, at: np.ndarray) -> None:
@@ -156,38 +168,37 @@ def _alike(group: pa.Table) -> list[pa.RecordBatch]:
     linked documents, as a forest (node, root).  128 slots agree on 102 in the mean at the
     threshold with a deviation under 4.6; 75 is six deviations below."""
     node = group.column("node").to_numpy()
-    mine, part = group.column("mine").to_numpy(), group.column("component").to_numpy()
+    left, part = group.column("left").to_numpy(zero_copy_only=False), group.column("component").to_numpy()
     words = group.column("bands").combine_chunks()
     words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
     sig = words.flatten().to_numpy().view("<u2").reshape(len(node), SLOTS)
-    label = np.arange(len(node))
-    whole = mine.min() == mine.max()
-    for i in range(len(node)):
-        other = np.flatnonzero((part != part[i]) & (label != label[i]) & (whole | (mine != mine[i])))
-        other = other[other > i]
+    label = np.unique(node, return_inverse=True)[1]  # a node may be on both sides
+    names, before = node[np.unique(label, return_index=True)[1]], label.copy()
+    right = np.flatnonzero(~left)
+    for i in np.flatnonzero(left):
+        other = right[(part[right] != part[i]) & (label[right] != label[i])]
         if len(other):
             close = other[(sig[other] == sig[i]).sum(1) >= 75]
             if len(close):
                 _merge(label, np.r_[i, close])
-    moved = np.flatnonzero(label != np.arange(len(node)))
-    return [pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[label[moved]])], names=["a", "b"])]
+    moved = np.flatnonzero(label != before)
+    return [pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(names[label[moved]])], names=["a", "b"])]
 
 
 def _links(percent: int):
     """Of a cluster's members: links between different components on full sets, as a forest."""
     def run(group: pa.Table) -> list[pa.RecordBatch]:
-        node, mine = group.column("node").to_numpy(), group.column("mine").to_numpy()
+        node, left = group.column("node").to_numpy(), group.column("left").to_numpy(zero_copy_only=False)
         label = group.column("component").to_numpy().copy()
         sets = [np.frombuffer(x, _U) for x in group.column("hashes").to_pylist()]
         size = np.array([len(x) for x in sets])
         first = np.r_[0, np.cumsum(size)]
         value, word = np.unique(np.concatenate(sets), return_inverse=True)
         mark = np.zeros(len(value), bool)
-        whole, out = mine.min() == mine.max(), []
-        for i in range(len(node)):
-            other = np.flatnonzero((label != label[i]) & (whole | (mine != mine[i])) & (
-                100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
-            other = other[other > i]
+        right, out = np.flatnonzero(~left), []
+        for i in np.flatnonzero(left):
+            other = right[(label[right] != label[i]) & (
+                100 * np.minimum(size[right], size[i]) >= percent * np.maximum(size[right], size[i]))]
             if not len(other):
                 continue
             own = word[first[i]:first[i + 1]]
@@ -235,16 +246,22 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     label = staged(connected_components(edges), "labels")
     named = shared.select("key", "node", "n").join(label, "node", "left").select(
         "key", "node", "n", F.coalesce("component", "node").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p < q")
-    open_ = named.join(mixed.select("key"), "key", "left_semi").join(classes.select("node", "bands"), "node")
-    alike = arrow_groups(_blocks(open_, "key", BLOCK_ROWS), ["key", "p", "q"], _alike, "a long, b long")
+    open_ = _blocks(named.drop("n"), "key", BLOCK_ROWS).join(classes.select("node", "bands"), "node")
+    alike = arrow_groups(open_, ["key", "p", "q"], _alike, "a long, b long")
     cluster = staged(connected_components(alike), "clusters").withColumnRenamed("component", "cluster")
     inside = cluster.join(label, "node", "left").select(
-        "cluster", "node", F.coalesce("component", "node").alias("component")).join(sets, "node")
-    more = staged(arrow_groups(_blocks(inside, "cluster", BLOCK_ROWS), ["cluster", "p", "q"], _links(percent),
-                               "a long, b long"), "links")
+        "cluster", "node", F.coalesce("component", "node").alias("component"))
+    compared = _blocks(inside, "cluster", BLOCK_ROWS).join(sets, "node")
+    more = staged(arrow_groups(compared, ["cluster", "p", "q"], _links(percent), "a long, b long"), "links")
     if more.take(1):
-        label = connected_components(edges.union(more))
+        # links between components: only these few are joined anew
+        between = more.join(label.select(F.col("node").alias("a"), F.col("component").alias("p")), "a", "left").join(
+            label.select(F.col("node").alias("b"), F.col("component").alias("q")), "b", "left").select(
+            F.coalesce("p", "a").alias("a"), F.coalesce("q", "b").alias("b"))
+        wider = staged(connected_components(between), "labels").select(
+            F.col("node").alias("component"), F.col("component").alias("wider"))
+        label = label.join(wider, "component", "left").select("node", F.coalesce("wider", "component").alias("component")).union(
+            wider.join(label.select(F.col("node").alias("component")), "component", "left_anti"))
     node = classes.select("s1", "s2", "n_shingles", "node").join(label, "node", "left").select(
         "s1", "s2", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     out = sig.select("doc_id", "n_shingles", "s1", "s2").join(

@@ -21,3 +21,11 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     df.write.parquet(path)
     remove_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete the files of a table that ``staged`` gave and nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
