@@ -6,11 +6,11 @@ and renames the mapped columns (NULL where the year lacks one), ``union_years``
 the years by name and ``coerce_numeric`` parses the numeric answers.  Missing-value
 tokens become NULL at the scan, as a default pandas read would do.
 
-All years' files are read together, in splits, also where a quoted answer holds line breaks: a
-light scan counts the quotes of each split, a running count over a file's splits says whether a
-split begins inside a quoted answer, and the task that reads a split puts its lines together to
-records.  Only pieces of records that cross a split's border are shuffled.  Each part file is
-parsed by its own header line, so parts may order their columns differently.
+All years' files are read together, in splits, also where a quoted answer holds line breaks: the
+quotes of each split are counted once a session, a running count over a file's splits says
+whether a split begins inside a quoted answer, and the task that reads a split puts its lines
+together to records.  Only pieces of records that cross a split's border are shuffled.  Each part
+file is parsed by its own header line, so parts may order their columns differently.
 
 ``write_year_files`` goes the other way: it renders a canonical table in each year's
 file layout (used to exercise the real-file path on data derived from the driver
@@ -45,6 +45,8 @@ LESS_THAN_ONE = "Less than 1 year"
 MORE_THAN_FIFTY = "More than 50 years"
 EXPERIENCE_TEXT_COLUMNS = ("years_code", "years_code_pro")
 
+_lock = threading.Lock()
+
 CSV_PARSE_OPTIONS = {"quote": '"', "escape": '"'}
 FILE_YEAR = re.compile(FILE_TEMPLATE.format(year=r"(\d{4})").replace(".csv", r"\.csv"))
 
@@ -98,32 +100,75 @@ def discover(spark: SparkSession, data_dir: str) -> tuple[int, ...]:
     return tuple(sorted(int(m[1]) for m in names if m))
 
 
-def _split_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(value, file, block, open, leaves): the physical lines of the files, with whether a quoted
-    answer is open where the line's split begins (``open``) and ends (``leaves``): 1 or 0.
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(value, file, block): the physical lines of the files and the split each lies in."""
+    return spark.read.option("lineSep", "\n").text(paths).selectExpr(
+        "value", "_metadata.file_path as file", "_metadata.file_block_start as block")
+
+
+class Splits:
+    """Where a file set's splits begin, and which of them begin or end within a quoted answer.
+
+    A split is summarised by its number of quotes, counted in one light scan; a running count over
+    a file's splits carries the state on.  The summary has a number and a bit for each split, as
+    many as Spark's own list of splits, and is kept for the session: files that have not changed
+    are counted once, and every later read of them is one scan."""
 
-    A split is summarised by its number of quotes; a running count over a file's splits carries
-    the state on.  That table has a row for each split, as Spark's own list of them, and is
-    broadcast: lines are not shuffled and stay in order."""
-    lines = spark.read.option("lineSep", "\n").text(paths).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    upto = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
-    state = lines.groupBy("file", "block").agg(F.sum(quotes).alias("n")).select(
-        "file", "block", ((F.sum("n").over(upto) - F.col("n")) % 2).cast("int").alias("open"),
-        (F.sum("n").over(upto) % 2).cast("int").alias("leaves"))
-    return lines.join(F.broadcast(state), ["file", "block"], "left").select("value", "file", "block", "open", "leaves")
+    def __init__(self, spark: SparkSession, paths: list[str]):
+        split = ["file", "block"]
+        quotes = _lines(spark, paths).selectExpr(*split, """length(value) - length(replace(value, '"', '')) as quotes""")
+        rows = quotes.groupBy(*split).agg(F.sum("quotes").alias("n")).toArrow().sort_by([("file", "ascending"), ("block", "ascending")])
+        self.blocks: dict[str, np.ndarray] = {}
+        self.open: dict[str, np.ndarray] = {}
+        files = rows.column("file").combine_chunks().dictionary_encode() if len(rows) else pa.array([], pa.string()).dictionary_encode()
+        block, n = rows.column("block").to_numpy(), rows.column("n").to_numpy()
+        number = np.asarray(files.indices)
+        for i, file in enumerate(files.dictionary.to_pylist()):
+            own = number == i
+            self.blocks[file] = block[own]
+            # one more than splits: the state at the end of the file
+            self.open[file] = np.r_[0, np.cumsum(n[own]) % 2].astype(np.int8)
 
+    @property
+    def crossed(self) -> bool:
+        """Whether a quoted answer lies across a border."""
+        return any(o[1:].any() for o in self.open.values())
 
-def _put_together(layouts: dict[str, int], whole: bool):
+
+_states: dict[tuple, Splits] = {}
+
+
+def _splits(spark: SparkSession, paths: list[str]) -> Splits:
+    """The splits of the files as they are now and as the session would deal them now."""
+    jvm = spark.sparkContext._jvm
+    seen = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+        seen.append((path, st.getLen(), st.getModificationTime()))
+    conf = [spark.conf.get(f"spark.sql.files.{c}", None) for c in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum")]
+    key = (spark.sparkContext.applicationId, spark.sparkContext.defaultParallelism, *conf, *seen)
+    with _lock:
+        found = _states.get(key)
+    if found is None:
+        found = Splits(spark, paths)
+        with _lock:
+            _states[key] = found
+    return found
+
+
+def _put_together(layouts: dict[str, int], splits: Splits, whole: bool):
     """Lines of splits to records: those that lie within one split, or (``whole`` false) the
     pieces of the others, at most two a split.  A file's first record, its header, is left out."""
+    blocks_of, open_at = splits.blocks, splits.open
+
     def run(batches):
         import pyarrow.compute as pc
 
         split, inside, header, mine = None, 0, False, None
         pending: list[pa.Array] = []  # the lines of the record that has not ended
         begun = True  # whether it began in this split
+        idle = False  # whether the split has no piece to give out
         out: list[tuple] = []
 
         def joined(arrays):
@@ -164,10 +209,15 @@ def _put_together(layouts: dict[str, int], whole: bool):
                 here = (files[i].as_py(), int(blocks[i]))
                 if here != split:
                     end(True)
-                    state = batch.column(3)[i].as_py()
-                    if state is None or here[0] not in layouts:
-                        raise RuntimeError(f"files or splits changed while they were read: {here}")
+                    known = blocks_of.get(here[0], blocks[:0])
+                    at = int(np.searchsorted(known, here[1]))
+                    if at == len(known) or known[at] != here[1]:
+                        raise RuntimeError(f"the files, or how they are split, changed since their quotes were counted: {here}")
+                    state = int(open_at[here[0]][at])
                     split, inside, header, begun, mine = here, state, here[1] == 0, not state, layouts[here[0]]
+                    idle = not whole and not state and not open_at[here[0]][at + 1]
+                if idle:
+                    continue
                 lines = batch.column(0).slice(i, j - i)
                 quotes = pc.count_substring(lines, '"').to_numpy()
                 before = (inside + np.cumsum(quotes) - quotes) % 2
@@ -201,18 +251,21 @@ def records(spark: SparkSession, layouts: dict[str, int]) -> DataFrame:
     """(layout, text): the records of CSV files without their headers; line breaks inside quotes
     stay in the text.  ``layouts`` numbers each file's layout.
 
-    Records within a split are put together by the task that reads it.  Of those that cross a
-    border only the pieces are shuffled, at most two a split."""
-    lines = _split_lines(spark, list(layouts))
-    kept = lines.mapInArrow(_put_together(layouts, True), "layout int, text string")
-    pieces = lines.where("open = 1 or leaves = 1 or open is null").mapInArrow(
-        _put_together(layouts, False), "file string, block long, layout int, begun boolean, header boolean, text string")
-    upto = Window.partitionBy("file").orderBy("block", "begun").rowsBetween(Window.unboundedPreceding, 0)
-    crossing = pieces.withColumn("record", F.sum(F.col("begun").cast("int")).over(upto)).groupBy("file", "layout", "record").agg(
-        F.max("header").alias("header"), F.array_sort(F.collect_list(F.struct("block", "begun", "text"))).alias("parts"))
-    text = F.array_join(F.transform("parts", lambda x: x["text"]), "\n")
-    both = kept.unionByName(crossing.where("not header").select("layout", text.alias("text")))
-    return both.select("layout", F.regexp_replace("text", "\r$", "").alias("text")).where("text <> ''")
+    Records within a split are put together by the task that reads it: one scan of the text, and no
+    line is shuffled.  Where records cross a border, a second scan gives out their pieces, at most
+    two a split, and only those are shuffled."""
+    paths = list(layouts)
+    splits = _splits(spark, paths)
+    found = _lines(spark, paths).mapInArrow(_put_together(layouts, splits, True), "layout int, text string")
+    if splits.crossed:
+        pieces = _lines(spark, paths).mapInArrow(
+            _put_together(layouts, splits, False), "file string, block long, layout int, begun boolean, header boolean, text string")
+        upto = Window.partitionBy("file").orderBy("block", "begun").rowsBetween(Window.unboundedPreceding, 0)
+        crossing = pieces.withColumn("record", F.sum(F.col("begun").cast("int")).over(upto)).groupBy("file", "layout", "record").agg(
+            F.max("header").alias("header"), F.array_sort(F.collect_list(F.struct("block", "begun", "text"))).alias("parts"))
+        text = F.array_join(F.transform("parts", lambda x: x["text"]), "\n")
+        found = found.unionByName(crossing.where("not header").select("layout", text.alias("text")))
+    return found.selectExpr("layout", r"regexp_replace(text, '\\r$', '') as text").where("text <> ''")
 
 
 def _scan(spark: SparkSession, data_dir: str, years) -> DataFrame:
@@ -224,17 +277,18 @@ def _scan(spark: SparkSession, data_dir: str, years) -> DataFrame:
         for file, names in headers(spark, year_path(data_dir, year)).items():
             layouts[file] = numbered.setdefault((year, tuple(names)), len(numbered))
     rows = records(spark, layouts)
+    options = "map(" + ", ".join(f"'{k}', '{v}'" for k, v in CSV_PARSE_OPTIONS.items()) + ")"
     parsed, homes = [], {}
     for (_, names), i in numbered.items():
-        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        parsed.append(F.when(F.col("layout") == i, F.from_csv("text", schema.simpleString(), CSV_PARSE_OPTIONS)).alias(f"_c{i}"))
+        fields = ", ".join(f"`{n}` STRING" for n in names).replace("\\", "\\\\").replace("'", "\\'")
+        parsed.append(f"case when layout = {i} then from_csv(text, '{fields}', {options}) end as _c{i}")
         for n in names:
-            homes.setdefault(n, []).append(F.col(f"_c{i}.`{n}`"))
-    year_of = F.element_at(F.array(*[F.lit(y) for y, _ in numbered]), F.col("layout") + 1)
-    wide = rows.select(year_of.cast("int").alias("_year"), *parsed)
-    text = wide.select("_year", *[F.coalesce(*cs).alias(n) for n, cs in homes.items()])
+            homes.setdefault(n, []).append(f"_c{i}.`{n}`")
+    years_of = ", ".join(str(y) for y, _ in numbered)
+    wide = rows.selectExpr(f"element_at(array({years_of}), layout + 1) as _year", *parsed)
+    text = wide.selectExpr("_year", *[f"coalesce({', '.join(cs)}) as `{n}`" for n, cs in homes.items()])
     toks = na_tokens_sql()
-    return text.selectExpr("_year as survey_year", *[
+    return text.selectExpr("cast(_year as int) as survey_year", *[
         f"CASE WHEN `{n}` IN ({toks}) THEN NULL ELSE `{n}` END AS `{n}`" for n in homes])
 
 
@@ -269,16 +323,15 @@ def harmonise_years(raw: DataFrame, years=YEARS, column_map: dict = COLUMN_MAP)
     """``harmonise`` of rows of several years at once: ``survey_year`` and every canonical column
     from the source column of the row's year."""
     present = set(raw.columns)
-    year = F.col("survey_year")
-    cols: list[Column] = [year]
+    cols = ["survey_year"]
     for canon, by_year in column_map.items():
         sources: dict[str, list[int]] = {}
         for y in years:
             if by_year.get(y) in present:
                 sources.setdefault(by_year[y], []).append(y)
-        each = [F.when(year.isin(*ys), F.col(f"`{src}`")) for src, ys in sources.items()]
-        cols.append((F.coalesce(*each) if each else F.lit(None).cast("string")).alias(canon))
-    return raw.select(*cols)
+        each = [f"case when survey_year in ({', '.join(map(str, ys))}) then `{src}` end" for src, ys in sources.items()]
+        cols.append(f"coalesce({', '.join([*each, 'cast(null as string)'])}) as `{canon}`")
+    return raw.selectExpr(*cols)
 
 
 def union_years(frames: list[DataFrame]) -> DataFrame:
@@ -334,7 +387,6 @@ def write_year_files(responses: DataFrame, out_dir: str, years=YEARS) -> None:
          .csv(year_path(out_dir, y)))
 
 
-_lock = threading.Lock()
 _files: dict[tuple[str, str], str] = {}
 
 

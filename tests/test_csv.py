@@ -81,7 +81,7 @@ def test_hand_written_file_with_dirty_values(spark, tmp_path):
 
 def _year_file(tmp_path, year, **parts):
     folder = tmp_path / f"survey_results_public_{year}.csv"
-    folder.mkdir()
+    folder.mkdir(parents=True)
     for name, text in parts.items():
         (folder / f"{name}.csv").write_bytes(text.encode())
     return str(tmp_path)
@@ -140,12 +140,30 @@ def test_every_split_border_falls_somewhere_else(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-def test_lines_are_not_shuffled(spark, responses, tmp_path):
-    """Between the text scan and the parsed rows only pieces of crossing records are exchanged."""
+def test_text_is_scanned_once_and_lines_are_not_shuffled(spark, responses, tmp_path):
+    """One scan of all files, no exchange; only where a record crosses a border a second one gives
+    out the pieces."""
     csv.write_year_files(responses({"response_id": 1}), str(tmp_path))
-    plan = csv.ingest(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [value") <= 4  # lines and split states, for whole records and for pieces
-    assert "Window" in plan  # over splits and pieces
+    whole = csv.ingest(spark, str(tmp_path))._jdf.queryExecution()
+    assert whole.optimizedPlan().toString().count("Relation [value") == 1
+    assert "Exchange" not in whole.executedPlan().toString()
+    folder = _year_file(tmp_path / "crossed", 2023, part='ResponseId,Notes\n1,"' + "a\n" * 400 + '"\n2,b\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        crossed = csv.read_year(spark, folder, 2023)
+        assert crossed._jdf.queryExecution().optimizedPlan().toString().count("Relation [value") == 2
+        assert crossed.count() == 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_changed_files_are_counted_anew(spark, tmp_path):
+    folder = _year_file(tmp_path, 2023, part='ResponseId,Notes\n1,"a\nb"\n')
+    assert [r.Notes for r in csv.read_year(spark, folder, 2023).collect()] == ["a\nb"]
+    (tmp_path / "survey_results_public_2023.csv" / "part.csv").write_text('ResponseId,Notes\n1,"c\n\nd"\n2,e\n')
+    assert [r.Notes for r in csv.read_year(spark, folder, 2023).collect()] == ["c\n\nd", "e"]
 
 
 def test_profile_orders_by_id_and_breaks_ties_by_the_cells(spark, tmp_path):
