@@ -106,7 +106,11 @@ free AS (
   SELECT * FROM s WHERE no = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
     AND NOT EXISTS (SELECT 1 FROM base x WHERE x.doc_id = s.doc_id AND x.b < s.b + s.n AND s.b < x.b + x.n)
 ), every AS (SELECT * FROM base UNION ALL SELECT * FROM free),
-own AS (SELECT v, count(DISTINCT source) <= 2 AS live FROM every GROUP BY v),
+own AS (
+  SELECT v, count(DISTINCT source) + max(CAST(source IS NULL AS INT)) <= 2
+            AND count(DISTINCT doc_id) + max(CAST(doc_id IS NULL AS INT)) <= 8 AS live
+  FROM every GROUP BY v
+),
 told AS (SELECT every.*, live FROM every JOIN own USING (v)),
 f AS (
   SELECT doc_id, count(*) FILTER (no = 0) AS a, count(*) FILTER (no = 1) AS c, count(*) FILTER (no = 2) AS h,

@@ -234,12 +234,13 @@ def test_secrets(frame):
                 if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
                 and not any(b[0] < m.end() and m.start() < b[2] for b in base)]
         for s in base + more:
-            owners.setdefault(s[3], set()).update({r["source"]} - {None})
+            owners.setdefault(s[3], (set(), set()))[0].add(r["source"])
+            owners[s[3]][1].add(r["doc_id"])
         found[r["doc_id"], t] = base, more
     expected = Counter()
     for r in df.collect():
         base, more = found[r["doc_id"], r["text"] or ""]
-        spans = sorted(base + [s for s in more if len(owners[s[3]]) <= 2])
+        spans = sorted(base + [s for s in more if len(owners[s[3]][0]) <= 2 and len(owners[s[3]][1]) <= 8])
         text = [",".join(f"{secrets.KINDS[s[1]]}:{s[0]}:{s[2]}" for s in sorted(x)) for x in (base, spans)]
         n = [sum(s[1] == k for s in base) for k in range(3)]
         expected[(r["doc_id"], *n, hashlib.sha256(text[0].encode()).hexdigest(), text[1])] += 1
@@ -252,6 +253,44 @@ def test_secrets(frame):
     assert text[1] == 'é [SECRET]" and [SECRET] token=ab' and text[3] == "[SECRET] " + "0" * 23
 
 
+def test_owners_and_repositories_tell_examples_from_live_values(frame):
+    def live(rows, sources):
+        got = secrets.secret_digest(secrets.find_secrets(frame(rows, sources=sources))).collect()
+        return {r["spans"] != "" for r in got}
+    token = "zz9" + "kq8" * 9
+    assert live([(i, token) for i in range(8)], ("one",)) == {True}
+    assert live([(i, token) for i in range(9)], ("one",)) == {False}  # many repositories of one owner
+    assert live([(i, token) for i in range(3)], ("a", "b", "c")) == {False}
+    assert live([(i, token) for i in range(6)], (None,)) == {True}  # rows without an owner are one owner
+    assert live([(i, token) for i in range(6)], ("a", "b", None)) == {False}
+    assert live([(None, token) for _ in range(20)], ("a",)) == {True}
+
+
+def test_secrets_take_time_in_proportion_to_the_matches(frame):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"{i:024x}" for i in range(n))
+        df = frame([(1, text), (2, "none")])
+        start = time.perf_counter()
+        found = secrets.find_secrets(df)
+        (r,) = secrets.secret_digest(found).filter("doc_id = 1").collect()
+        assert r["n_hex"] == n and r["spans"].count(",") == n - 1
+        (t,) = secrets.redacted(df, found).filter("doc_id = 1").collect()
+        assert t["text"] == " ".join(["[SECRET]"] * n)
+        return time.perf_counter() - start
+    seconds(10)
+    small = seconds(8000)
+    assert seconds(16000) < 2.5 * small + 3
+
+
+def test_redaction_of_overlapping_spans_and_wide_characters(frame):
+    rows = [(1, "é🙂 password=" + "ab12" * 9 + " 🙂 AKIA" + "Q" * 20), (2, "token: " + "0" * 30), (3, "secret=abcdef"), (3, "secret=abcdef")]
+    df = frame(rows)
+    got = sorted((r["doc_id"], r["text"]) for r in secrets.redacted(df, secrets.find_secrets(df)).collect())
+    assert got == [(1, "é🙂 [SECRET] 🙂 [SECRET]"), (2, "[SECRET]"), (3, "[SECRET]"), (3, "[SECRET]")]
+
+
 def test_quality_rules(docs, frame):
     extra = [(90, "Home | About | Contact\n" + "A line of plain prose that ends well.\n" * 12),
              (91, "All rights reserved.\n" * 20), (92, "LOUD!! WORDS!! HERE!!\n" * 30), (93, "word### more$$$ junk&&&\n" * 30)]
