@@ -6,13 +6,18 @@ pools the states, and a linear unit gives the window's logit.  A document is sco
 its windows, each overlapping the next by half; a small logistic model over its highest
 window logits and its length gives the score.
 
-The network is fitted on the driver on a bounded sample of labelled rows (``SAMPLE_ROWS`` by
-label, ``SAMPLE_WINDOWS`` windows of each); scoring is one pass over the documents without a
-shuffle.
+A word of more than ``LONGEST`` bytes is read as several pieces, so a window has a bounded size
+and nothing is left out.
+
+The network is fitted on the driver on a bounded sample: of at most ``SAMPLE_ROWS`` labelled rows
+of each label, at most ``SAMPLE_WINDOWS`` labelled windows, drawn from all their windows with the
+same expected number for each row.  Scoring is one pass over the documents without a shuffle.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,14 +25,17 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm import textops as T
 from cohortlens.llm.shipping import arrow_map
+from cohortlens.llm.staging import staged
 
 WINDOW, STRIDE = 32, 16
 WORD_ROWS, CHAR_ROWS, EMBED, HIDDEN = 1 << 14, 1 << 12, 8, 8
-SAMPLE_ROWS, SAMPLE_WINDOWS = 2500, 16
-EPOCHS, STEPS, BATCH, SEED = 6, 800, 256, 7  # at least so many passes and steps
+LONGEST = 64  # bytes of a piece
+SAMPLE_ROWS, SAMPLE_WINDOWS = 2500, 60_000
+EPOCHS, STEPS, BATCH, SEED = 4, 800, 256, 7  # at least so many passes and steps
 PART = 2048  # windows that are read at a time
 UNTAUGHT = np.array([0, 0, 0, 0, -4.0])  # document weights without both labels: all score 0.018
 _U = np.uint64
+_LONG = re.compile(rb"[^\x20\x09-\x0D]{%d}(?=[^\x20\x09-\x0D])" % LONGEST)
 _FOLD = bytes(32 if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else ord(chr(b).lower()) if b < 128 else b
               for b in range(256))
 
@@ -37,6 +45,11 @@ def folded(text: bytes) -> bytes:
     return text.translate(_FOLD)
 
 
+def pieces(texts: list[bytes]) -> list[bytes]:
+    """Folded texts with words of more than LONGEST bytes cut into pieces of that size."""
+    return [_LONG.sub(rb"\g<0> ", folded(t)) for t in texts]
+
+
 def sigmoid(x):
     return 0.5 * (1 + np.tanh(0.5 * x))
 
@@ -47,6 +60,8 @@ class Tokens:
 
     def __init__(self, texts: list[bytes]):
         words = T.Words([folded(t) for t in texts])
+        if len(words.start) and (words.end - words.start).max() > LONGEST:
+            words = T.Words(pieces(texts))
         self.first = words.first
         distinct, at, self.word = np.unique(words.hashes(), return_index=True, return_inverse=True)
         self.row = (distinct % _U(WORD_ROWS)).astype(np.int64)
@@ -258,37 +273,46 @@ def held_out(doc_id) -> F.Column:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(doc_id, text, y): at most ``rows`` labelled documents of each label that may be learnt
-    from, by a hash of the id; labels of other documents do not count.  The broadcast side has at
-    most 2 * ``rows`` rows."""
+    """(doc_id, text, y): at most ``rows`` labelled rows of each label that may be learnt from, by
+    a hash of id and text; labels of other documents do not count, and rows equal in both are one.
+    The broadcast side has at most 2 * ``rows`` rows."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).filter(
-        F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("y").alias("y")).join(
-        docs.select("doc_id").distinct(), "doc_id", "left_semi")
-    order = F.xxhash64(F.lit(SEED), "doc_id")
-    picked = [known.filter(F.col("y") == y).orderBy(order, "doc_id").limit(rows) for y in (0, 1)]
-    return docs.select("doc_id", "text").join(F.broadcast(picked[0].union(picked[1])), "doc_id")
-
-
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, window_rows: int = SAMPLE_WINDOWS) -> dict:
-    """Fit network and document model.  To the driver come at most 2 * ``rows`` * ``window_rows``
-    windows of 32 whole words (twice the sampled texts at most) and four numbers for each of the rows."""
-    sample = _sample(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, rows)
-
+        F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(
+        F.max("y").alias("y"))
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("own"))
+    keys = named.select("doc_id", "own").distinct().join(known, "doc_id")
+    order = F.xxhash64(F.lit(SEED), "doc_id", "own")
+    picked = [keys.filter(F.col("y") == y).orderBy(order, "doc_id", "own").limit(rows) for y in (0, 1)]
+    return named.join(F.broadcast(picked[0].union(picked[1])), ["doc_id", "own"]).dropDuplicates(["doc_id", "own"]).select(
+        "doc_id", "text", "y")
+
+
+def _drawn(sample: DataFrame, window_rows: int) -> DataFrame:
+    """(doc_id, part, y): at most ``window_rows`` of all windows of the sampled rows.  A window's
+    place in the draw is an exponential variate of the rate 1 / windows of its row, so rows count
+    alike, and every window of a row may be drawn."""
     def cut(batches):
         for batch in batches:
             ids, ys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for own, raw, y in zip(ids, T.utf8(batch.column(1)), ys, strict=True):
-                words = folded(raw).split()
+                words = pieces([raw])[0].split()
                 starts = np.arange(1 + max(0, -(-(len(words) - WINDOW) // STRIDE))) * STRIDE
-                chosen = np.argsort(T.mix64(starts.astype(_U) + _U(own & 0xFFFFFFFF)))[:window_rows]
-                parts = [b" ".join(words[s:s + WINDOW]) for s in starts[np.sort(chosen)]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([own] * len(parts)), pa.array(parts, pa.binary()), pa.array([y] * len(parts), pa.int32())],
-                    names=["doc_id", "part", "y"])
+                u = (T.mix64(starts.astype(_U) + _U(own & 0xFFFFFFFF)).astype(float) + 1) / 2.0**64
+                for o in range(0, len(starts), PART):
+                    parts = [b" ".join(words[s:s + WINDOW]) for s in starts[o:o + PART]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([own] * len(parts)), pa.array(parts, pa.binary()), pa.array([y] * len(parts), pa.int32()),
+                         pa.array(-np.log(u[o:o + PART]) * len(starts))], names=["doc_id", "part", "y", "place"])
 
-    parts = arrow_map(sample, cut, "doc_id long, part binary, y int").toArrow().sort_by(
-        [("doc_id", "ascending"), ("part", "ascending")])
+    return arrow_map(sample, cut, "doc_id long, part binary, y int, place double").orderBy(
+        "place", "doc_id", "part").limit(window_rows).drop("place")
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, window_rows: int = SAMPLE_WINDOWS) -> dict:
+    """Fit network and document model.  To the driver come at most ``window_rows`` windows of at
+    most 32 pieces of 64 bytes, and four numbers for each of at most 2 * ``rows`` sampled rows."""
+    sample = staged(_sample(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, rows), "labelled")
+    parts = _drawn(sample, window_rows).toArrow().sort_by([("doc_id", "ascending"), ("part", "ascending")])
     net = train_network(parts.column("part").to_pylist(), np.asarray(parts.column("y"), np.float32))
 
     def known(batches):

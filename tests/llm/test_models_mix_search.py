@@ -211,3 +211,24 @@ def test_pipeline_runs_its_stages_in_order(spark, frame):
     pieces = P.STAGES[-1][1](spark, docs, SF)
     total = pieces.groupBy("doc_id").agg(F.sum("length").alias("n")).agg(F.sum("n")).first()[0]
     assert total == sum(x["doc_tokens"] for x in pieces.filter("start = 0").collect())
+
+
+def test_training_samples_are_bounded_by_rows_and_bytes(spark):
+    """Five thousand rows of one id, and a word of ten megabytes, bring no more than is stated."""
+    docs = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("rude "), F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert X._sample(docs, labels, 20).count() == 20
+    same = docs.select("doc_id", F.lit("the same text").alias("text"))
+    assert X._sample(same, labels, 20).count() == 1
+    long = docs.limit(3).unionByName(spark.createDataFrame([(2, "x" * 10_000_000 + " end")], "doc_id long, text string"))
+    windows = X._drawn(X._sample(long, labels, 20), 50).collect()
+    assert len(windows) == 50 and max(len(w["part"]) for w in windows) <= X.WINDOW * (X.LONGEST + 1)
+    everything = X._drawn(X._sample(long, labels, 20), 10**6).collect()
+    assert sum(len(w["part"].replace(b" ", b"")) for w in everything if w["doc_id"] == 2) > 10_000_000
+
+
+def test_long_words_are_read_whole():
+    """Two texts that differ in the last byte of a long word only have different pieces."""
+    a, b = X.Tokens([b"y" * 500 + b"a z"]), X.Tokens([b"y" * 500 + b"b z"])
+    assert len(a.word) == 9 and sorted(a.row) != sorted(b.row)
+    assert X.pieces([b"y" * 130])[0].split() == [b"y" * 64, b"y" * 64, b"yy"]
