@@ -19,7 +19,7 @@ from cohortlens.llm.shipping import arrow_map
 from cohortlens.llm.staging import staged
 
 LABELLERS = ("length", "symbols", "line_ends", "word_length", "variety", "capitals", "separators", "shouting")
-BUCKETS, SAMPLE_ROWS, SAMPLE_FEATURES, SEED = 1 << 14, 2000, 1024, 11
+BUCKETS, SAMPLE_ROWS, SEED = 1 << 14, 1500, 11
 _U = np.uint64
 _CLASS = np.full(256, ord("a"), np.uint8)
 for _b in range(128):
@@ -139,13 +139,14 @@ def score_quality(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, votes (by ``LABELLERS``; g, b or -),
     weak (posterior of the votes), score (0 to 1, the linear scorer), kept (score >= 0.5).
 
-    The scorer learns from at most ``rows`` documents with a posterior of 0.5 or more and as
-    many below (by a hash of the id), at most ``SAMPLE_FEATURES`` features of each.  Null and
-    word-free texts are voted on and scored like others; rows with a null doc_id are scored
-    but not learnt from; repeated rows count each.  Other columns are ignored; an empty table
-    gives no rows.
+    The scorer learns from at most ``rows`` rows with a posterior of 0.5 or more and as many
+    below, by a hash of id and text, rows equal in both being one; of each come all its features,
+    at most ``BUCKETS``.  Null and word-free texts are voted on and scored like others; rows with a
+    null doc_id are scored but not learnt from; repeated rows count each in the votes.  Other
+    columns are ignored; an empty table gives no rows.
     """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    named = read.withColumn("own", F.xxhash64("text"))
     digits = 3 ** np.arange(len(LABELLERS))
 
     def vote(batches):
@@ -153,37 +154,37 @@ def score_quality(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
             texts = T.utf8(batch.column(1))
             for i, j in T.chunks(texts):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array((votes(texts[i:j]) * digits).sum(1))],
-                    names=["doc_id", "pattern"])
+                    [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array((votes(texts[i:j]) * digits).sum(1))],
+                    names=["doc_id", "own", "pattern"])
 
-    voted = staged(arrow_map(read, vote, "doc_id long, pattern long"), "votes")
+    voted = staged(arrow_map(named, vote, "doc_id long, own long, pattern long"), "votes")
     counts = voted.groupBy("pattern").count().orderBy("pattern").collect()  # at most 3**8 rows
     codes = np.array([r["pattern"] for r in counts], np.int64)
     table = codes[:, None] // digits % 3 if len(codes) else np.zeros((0, len(digits)), np.int64)
     model = estimate(table, np.array([r["count"] for r in counts], float))
     post = posterior(table, model["share"], model["right"])
 
-    order = F.xxhash64(F.lit(SEED), "doc_id")
-    sides = [voted.filter(F.col("doc_id").isNotNull() & F.col("pattern").isin(codes[side].tolist())).orderBy(
-        order, "doc_id", "pattern").limit(rows) for side in (post >= 0.5, post < 0.5)]
-    picked = F.broadcast(sides[0].union(sides[1]).groupBy("doc_id").agg(F.min("pattern").alias("pattern")))
+    keys = voted.filter(F.col("doc_id").isNotNull()).select("doc_id", "own", "pattern").distinct()
+    sides = [keys.filter(F.col("pattern").isin(codes[side].tolist())).orderBy(
+        F.xxhash64(F.lit(SEED), "doc_id", "own"), "doc_id", "own").limit(rows) for side in (post >= 0.5, post < 0.5)]
+    picked = F.broadcast(sides[0].union(sides[1]))
+    chosen = named.join(picked, ["doc_id", "own"]).dropDuplicates(["doc_id", "own"]).select("doc_id", "text", "pattern")
 
     def sampled(batches):
         for batch in batches:
             texts = T.utf8(batch.column(1))
             for i, j in T.chunks(texts):
                 owner, bucket, value = hashed(texts[i:j])
-                best = np.lexsort((bucket, -value, owner))
-                first = np.searchsorted(owner[best], np.arange(j - i + 1))
-                cut = [best[a:b][:SAMPLE_FEATURES] for a, b in zip(first[:-1], first[1:], strict=True)]
+                first = np.searchsorted(owner, np.arange(j - i + 1))
+                each = [slice(a, b) for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i),
-                     pa.array([bucket[x].astype(np.int32) for x in cut], pa.list_(pa.int32())),
-                     pa.array([value[x].astype(np.float32) for x in cut], pa.list_(pa.float32()))],
+                     pa.array([bucket[x].astype(np.int32) for x in each], pa.list_(pa.int32())),
+                     pa.array([value[x].astype(np.float32) for x in each], pa.list_(pa.float32()))],
                     names=["doc_id", "pattern", "bucket", "value"])
 
-    sample = arrow_map(read.join(picked, "doc_id"), sampled,
-                       "doc_id long, pattern long, bucket array<int>, value array<float>").toArrow().sort_by("doc_id")
+    sample = arrow_map(chosen, sampled, "doc_id long, pattern long, bucket array<int>, value array<float>").toArrow().sort_by(
+        [("doc_id", "ascending"), ("pattern", "ascending")])
     size = np.asarray(sample.column("bucket").combine_chunks().value_lengths()) if len(sample) else np.zeros(0, int)
     flat = [np.concatenate([np.zeros(0, np.float64), *(np.asarray(c.flatten()) for c in sample.column(n).chunks)])
             for n in ("bucket", "value")]

@@ -171,16 +171,17 @@ def test_exact_topk(spark, cell, monkeypatch):
     monkeypatch.setattr(V, "FIRST_ROWS", 16)
     df = spark.createDataFrame([(i, v, 1, 2) for i, v in VECTORS], "vec_id long, embedding array<float>, cell int, rank int")
     known = V.quantised(df, "vec_id", "embedding").distinct().collect()
-    assert {r["id"] for r in known} == {i for i, _ in VECTORS} - {None, 400, 500, 600, 700, 1000}
+    assert {r["id"] for r in known} == {i for i, _ in VECTORS} - {None, 400, 500, 600, 700}
     assert sum(r["id"] == 7 for r in known) == 2
     got = V.exact_topk(V.quantised(df, "vec_id", "embedding"), V.quantised(df, "vec_id", "embedding").filter("id % 100 = 0"),
                        10, cell_rows=cell, group_rows=2)
     expected = set()
     for q in known:
         if q["id"] % 100 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(q["v"], c["v"])), c["id"]) for c in known
+            scored = sorted((-sum(int(a) * int(b) for a, b in zip(q["v"], c["v"])), c["id"]) for c in known
                             if c["id"] != q["id"] and len(c["v"]) == len(q["v"]))
-            expected |= {(q["id"], n + 1, i, -s) for n, (s, i) in enumerate(scored[:10])}
+            edge = 2**63 - 1  # (1000, 3e38) takes part; its scores are the nearest longs
+            expected |= {(q["id"], n + 1, i, max(-edge, min(edge, -s))) for n, (s, i) in enumerate(scored[:10])}
     assert {tuple(r) for r in got.collect()} == expected
     none = V.quantised(df.limit(0), "vec_id", "embedding")
     assert V.exact_topk(none, none).count() == 0
@@ -232,3 +233,26 @@ def test_long_words_are_read_whole():
     a, b = X.Tokens([b"y" * 500 + b"a z"]), X.Tokens([b"y" * 500 + b"b z"])
     assert len(a.word) == 9 and sorted(a.row) != sorted(b.row)
     assert X.pieces([b"y" * 130])[0].split() == [b"y" * 64, b"y" * 64, b"yy"]
+
+
+def test_quality_sample_is_bounded_by_rows(spark, monkeypatch):
+    """Five thousand rows of one id bring as many training rows as are asked for, whole."""
+    from cohortlens.llm import weak_quality as W
+    seen = []
+    real = W.train_linear
+    monkeypatch.setattr(W, "train_linear", lambda text, bucket, value, target: seen.append((text, bucket, target)) or real(
+        text, bucket, value, target))
+    long = " ".join(f"w{i}" for i in range(30_000))
+    docs = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(
+        F.lit("A plain line that ends well. "), F.col("id").cast("string")).alias("text")).unionByName(
+        spark.createDataFrame([(2, long), (3, None), (None, "no id"), (4, "")], "doc_id long, text string"))
+    got = W.score_quality(docs, rows=20)
+    assert got.count() == 5004
+    (text, bucket, target), = seen
+    assert len(target) <= 40
+    rows = {r["doc_id"]: r for r in got.where("doc_id > 1").collect()}
+    assert set(rows) == {2, 3, 4} and all(0 <= r["score"] <= 1 for r in rows.values())
+    assert rows[3]["votes"] == rows[4]["votes"] and rows[3]["score"] == rows[4]["score"]
+    few = W.score_quality(docs.where("doc_id > 1"), rows=20)
+    assert few.count() == 3
+    assert (np.bincount(seen[-1][0]) > 1024).any()  # of a long text all features are learnt from
