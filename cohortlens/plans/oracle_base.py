@@ -43,7 +43,8 @@ MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
            "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 ANSWERS["industry"] = [*MISSING, "Banking", "Software", "Retail, wholesale"]
 
-# Fixed values: (question, place in the rule order, words that must occur, word that must not, category); % is any text.
+# Fixed values: (question, place in the rule order, words that must occur, word that must not, category); % is any text,
+# = the exact answer that follows, capitals included.
 RULES = [
     ("remote", 1, "%remote%", "%hybrid%", "Remote"), ("remote", 2, "%hybrid%", "", "Hybrid"),
     ("remote", 2, "%your choice%", "", "Hybrid"), ("remote", 2, "%flexible%", "", "Hybrid"),
@@ -55,7 +56,7 @@ RULES = [
     ("education", 6, "%professional%", "", "Professional degree"), ("education", 7, "%some college%", "", "Some college"),
     ("education", 7, "%without earning%", "", "Some college"),
     ("employment", 1, "%student%", "", "Student"), ("employment", 2, "%full-time%", "", "Employed FT"),
-    ("employment", 2, "%full time%", "", "Employed FT"), ("employment", 2, "employed", "", "Employed FT"),
+    ("employment", 2, "%full time%", "", "Employed FT"), ("employment", 2, "=Employed", "", "Employed FT"),
     ("employment", 3, "%part-time%", "", "Employed PT"), ("employment", 3, "%part time%", "", "Employed PT"),
     ("employment", 4, "%self-employed%", "", "Self-employed"), ("employment", 4, "%freelance%", "", "Self-employed"),
     ("employment", 4, "%contractor%", "", "Self-employed"), ("employment", 4, "%independent%", "", "Self-employed"),
@@ -102,7 +103,7 @@ person AS MATERIALIZED (
 ),
 responses AS MATERIALIZED (
     SELECT y AS survey_year, id AS response_id, {_answer('branch', 'who % 4')} AS main_branch,
-        {_answer('employment', 'mix % 11')} AS employment, if(mix % 37 = 0, NULL, land) AS country,
+        if(mix % 22 = 4, 'employed', {_answer('employment', 'mix % 11')}) AS employment, if(mix % 37 = 0, NULL, land) AS country,
         {_answer('education', 'who % 11')} AS ed_level, {_answer('age', 'mix % 4')} AS age,
         CAST(who % 45 AS DOUBLE) AS years_code,
         if(y = 2025 OR mix % 10 = 0, NULL, if(mix % 97 = 1, -1, CAST(who % 60 AS DOUBLE))) AS years_code_pro,
@@ -127,7 +128,7 @@ told AS (
     SELECT t.question, raw, arg_min(category, place) AS category
     FROM ({_told('remote', 'remote_work')} UNION ALL {_told('education', 'ed_level')}
           UNION ALL {_told('employment', 'employment')} UNION ALL {_told('ai', 'ai_select')}) t
-    JOIN rule ON rule.question = t.question AND lower(raw) LIKE needs AND NOT lower(raw) LIKE bars
+    JOIN rule ON rule.question = t.question AND if(starts_with(needs, '='), raw = needs[2:], lower(raw) LIKE needs) AND NOT lower(raw) LIKE bars
     GROUP BY t.question, raw
 ),
 responses_clean AS MATERIALIZED (

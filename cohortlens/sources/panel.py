@@ -132,7 +132,9 @@ def survey_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "survey_year": year,
         "response_id": okey,
         "main_branch": _pick(ckey % 4, BRANCH_LABELS),
-        "employment": F.when(h % 11 >= 8, F.lit("Employed, full-time")).otherwise(_pick(h % 11, EMPLOYMENT_LABELS)),
+        # "employed" is not the answer "Employed": labels of that rule are compared as they are written
+        "employment": F.when(h % 11 >= 8, F.lit("Employed, full-time")).when(h % 22 == 4, F.lit("employed")).otherwise(
+            _pick(h % 11, EMPLOYMENT_LABELS)),
         "country": F.when(h % 37 == 0, null_s).otherwise(F.col("n_name")),
         "ed_level": _pick(ckey % 11, ED_LABELS),
         "age": _pick(h % 4, AGE_LABELS),
