@@ -168,7 +168,9 @@ def score_quality(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     sides = [keys.filter(F.col("pattern").isin(codes[side].tolist())).orderBy(
         F.xxhash64(F.lit(SEED), "doc_id", "own"), "doc_id", "own").limit(rows) for side in (post >= 0.5, post < 0.5)]
     picked = F.broadcast(sides[0].union(sides[1]))
-    chosen = named.join(picked, ["doc_id", "own"]).dropDuplicates(["doc_id", "own"]).select("doc_id", "text", "pattern")
+    # written, so that sorting the texts and reading them in Python are not the same tasks
+    chosen = staged(named.join(picked, ["doc_id", "own"]).dropDuplicates(["doc_id", "own"]).select(
+        "doc_id", "text", "pattern"), "learnt")
 
     def sampled(batches):
         for batch in batches:
