@@ -125,7 +125,8 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def read_buckets(spark: SparkSession, root: str, name: str) -> DataFrame:
     """``responses`` or ``responses_clean`` as ``read_table`` gives it, with its buckets known to
-    the optimizer."""
+    the optimizer.  Buckets need a catalog name, one for each version of the panel; a catalog that
+    outlives the session keeps it until it is dropped."""
     root, columns = root.rstrip("/"), table_columns(name)
     folder = versions.folder(root, "panel", versions.current(spark, root))
     (buckets,) = (n.split("_")[1] for n in versions.notes(spark, folder) if n.startswith("buckets_"))
