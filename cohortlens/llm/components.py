@@ -2,8 +2,8 @@
 
 In a round each edge goes to the tasks of both its ends, so that a vertex meets all its
 neighbours; a task joins the edges of each bounded chunk it reads with union-find and gives out
-every vertex with the smallest vertex that the chunk connects it to.  Reach at least doubles in a
-round.  The rounds end when the edges were a star forest already: no vertex with two smaller
+every vertex with the smallest vertex that the chunk connects it to, unless that is an edge it read
+at the larger end: the task of the smaller end has it too.  Reach at least doubles in a round.  The rounds end when the edges were a star forest already: no vertex with two smaller
 neighbours, or with a smaller and a larger one.  No part of the graph reaches the driver; a
 round's edges are written to the shared folder, and those of the round before are deleted.
 """
@@ -48,6 +48,11 @@ def _round(batches):
         a, b = (np.concatenate(x) for x in zip(*chunk, strict=True))
         vertex, root = roots(a, b)
         moved = vertex != root
+        first = root[np.searchsorted(vertex, np.maximum(a, b))] == np.minimum(a, b)  # edges to a root
+        here, there = (np.isin(vertex, x) for x in (b[first & (a < b)], a[first & (a > b)]))
+        new = moved & (here | ~there)
+        if not open_ or new.any():  # an open forest is told by its rows
+            moved = new
         n = int(moved.sum())
         return pa.RecordBatch.from_arrays([pa.array(vertex[moved]), pa.array(root[moved]), pa.array(np.full(n, open_))],
                                           ["a", "b", "open"])

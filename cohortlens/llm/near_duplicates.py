@@ -7,8 +7,9 @@ and the estimate varies less than with independent hashes; a document stops at t
 round that can no longer lower a slot, after a few rounds for all but short texts.
 
 Documents with equal shingle sets are one vertex.  Vertices with an equal band meet in a
-bucket.  A bucket first links each member with its smallest and its largest vertex only
-(verified on full sets).  Where a bucket's members then lie in several components, the
+bucket.  Each vertex is first linked with the smallest and the largest vertex of all its buckets
+only (verified on full sets), then with the smallest and the largest of each bucket that lie in
+another component.  Where a bucket's members then lie in several components, the
 signatures of those outside its largest component are compared with all in blocks of bounded
 size; members whose signatures could belong to linked documents form clusters, and a cluster's
 members of different components are compared on full sets in the same way.  Both steps return
@@ -216,6 +217,35 @@ def _links(percent: int):
     return run
 
 
+def _hubs(shared: DataFrame) -> DataFrame:
+    """(a, b), a > b: each node of the buckets (node, lo, hi) with the smallest and the largest node
+    of all its buckets, at most two pairs a node."""
+    ends = shared.groupBy("node").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return _pairs(ends)
+
+
+def _pairs(ends: DataFrame) -> DataFrame:
+    hubs = ends.select("node", F.explode(F.array("lo", "hi")).alias("hub")).filter("node <> hub")
+    return hubs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+
+
+def _between(links: DataFrame, label: DataFrame) -> DataFrame:
+    """The links (a, b) that lie between components, with those (p, q); unlabelled nodes are their own."""
+    return links.join(label.select(F.col("node").alias("a"), F.col("component").alias("p")), "a", "left").join(
+        label.select(F.col("node").alias("b"), F.col("component").alias("q")), "b", "left").select(
+        "a", "b", F.coalesce("p", "a").alias("p"), F.coalesce("q", "b").alias("q")).filter("p <> q")
+
+
+def _widened(label: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after ``links``; only links between components are joined anew."""
+    if not links.take(1):
+        return label
+    wider = staged(connected_components(_between(links, label).select(F.col("p").alias("a"), F.col("q").alias("b"))), "labels").select(
+        F.col("node").alias("component"), F.col("component").alias("wider"))
+    return label.join(wider, "component", "left").select("node", F.coalesce("wider", "component").alias("component")).union(
+        wider.join(label.select(F.col("node").alias("component")), "component", "left_anti"))
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -237,13 +267,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     sets = staged(_sets(docs.join(shared.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"),
                         shingle_words).distinct(), "sets")
 
-    hubs = shared.select("node", "n", F.explode(F.array("lo", "hi")).alias("hub")).filter("node <> hub")
-    pairs = hubs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
     several = linked.groupBy("doc_id").agg(F.min("s1").alias("p"), F.max("s1").alias("q")).filter("p <> q")
     same_id = linked.join(several.select("doc_id"), "doc_id", "left_semi").join(
         classes, ["s1", "s2", "n_shingles"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    edges = staged(_verified(pairs, sets, percent).union(same_id), "links")
+    edges = staged(_verified(_hubs(shared), sets, percent).union(same_id), "links")
     label = staged(connected_components(edges), "labels")
+    rest = staged(_verified(_between(_pairs(shared), label).select("a", "b"), sets, percent), "links")
+    label = staged(_widened(label, rest), "labels")
     named = shared.select("key", "node", "n").join(label, "node", "left").select(
         "key", "node", "n", F.coalesce("component", "node").alias("component"))
     open_ = _blocks(named.drop("n"), "key", BLOCK_ROWS).join(classes.select("node", "bands"), "node")
@@ -253,15 +283,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         "cluster", "node", F.coalesce("component", "node").alias("component"))
     compared = _blocks(inside, "cluster", BLOCK_ROWS).join(sets, "node")
     more = staged(arrow_groups(compared, ["cluster", "p", "q"], _links(percent), "a long, b long"), "links")
-    if more.take(1):
-        # links between components: only these few are joined anew
-        between = more.join(label.select(F.col("node").alias("a"), F.col("component").alias("p")), "a", "left").join(
-            label.select(F.col("node").alias("b"), F.col("component").alias("q")), "b", "left").select(
-            F.coalesce("p", "a").alias("a"), F.coalesce("q", "b").alias("b"))
-        wider = staged(connected_components(between), "labels").select(
-            F.col("node").alias("component"), F.col("component").alias("wider"))
-        label = label.join(wider, "component", "left").select("node", F.coalesce("wider", "component").alias("component")).union(
-            wider.join(label.select(F.col("node").alias("component")), "component", "left_anti"))
+    label = _widened(label, more)
     node = classes.select("s1", "s2", "n_shingles", "node").join(label, "node", "left").select(
         "s1", "s2", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     out = sig.select("doc_id", "n_shingles", "s1", "s2").join(

@@ -6,10 +6,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlens.llm import anchors, near_duplicates as N, packing, quality_rules, secrets, textops as T
+from cohortlens.llm import anchors, components, near_duplicates as N, packing, quality_rules, secrets, textops as T
 from cohortlens.llm.near_duplicates import near_duplicates, one_of_each
 from cohortlens.llm.queries import digest_pieces, vocabulary
 from cohortlens.llm.substring_dedup import remove_later_repeats
@@ -344,3 +345,24 @@ def test_empty_tables(empty):
                secrets.find_secrets(empty), mix_digest(mix), mixed_documents(empty, mix),
                score_toxicity(empty, model), reject_toxic(empty, model), score_quality(empty)):
         assert df.count() == 0
+
+
+def test_a_round_gives_out_each_edge_of_a_star_once():
+    """The task of the centre gives out all edges; the tasks of the leaves none again."""
+    def given(edges):
+        a, b = (pa.array([e[c] for e in edges], pa.int64()) for c in (0, 1))
+        found = components._round(iter([pa.RecordBatch.from_arrays([a, b], names=["key", "other"])]))
+        return [(x["a"], x["b"]) for batch in found for x in batch.to_pylist()]
+
+    leaves = range(1, 9)
+    assert given([(0, v) for v in leaves]) == [(v, 0) for v in leaves]
+    assert given([(v, 0) for v in leaves]) == []
+    assert given([(5, 2), (5, 7)]) == [(7, 2)]  # 5 lies with 2 in the task of 2
+    assert len(given([(2, 0), (3, 0), (3, 2)])) == 2  # no star forest: said by rows
+
+
+def test_a_node_is_first_linked_with_two_hubs(spark):
+    """However many buckets a node shares, with other ends in each."""
+    shared = spark.createDataFrame([(n, lo, 90 + lo) for n in range(10, 30) for lo in range(8)], "node long, lo long, hi long")
+    found = {(r.a, r.b) for r in N._hubs(shared).collect()}
+    assert found == {(n, 0) for n in range(10, 30)} | {(97, n) for n in range(10, 30)}
