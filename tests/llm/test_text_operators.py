@@ -366,3 +366,14 @@ def test_a_node_is_first_linked_with_two_hubs(spark):
     shared = spark.createDataFrame([(n, lo, 90 + lo) for n in range(10, 30) for lo in range(8)], "node long, lo long, hi long")
     found = {(r.a, r.b) for r in N._hubs(shared).collect()}
     assert found == {(n, 0) for n in range(10, 30)} | {(97, n) for n in range(10, 30)}
+
+
+def test_a_passage_of_many_texts_is_compared_in_bounded_steps(monkeypatch):
+    """Runs of equal suffixes do not jump over one another; windows are not laid out all at once."""
+    many = 4096
+    order = np.concatenate([np.arange(many) * 3 + i for i in range(3)])
+    lcp = np.where(np.arange(len(order)) % many == 0, 0, 200)
+    calls = []
+    monkeypatch.setattr(np, "flatnonzero", lambda x, plain=np.flatnonzero: calls.append(1) or plain(x))
+    assert (longest_previous_factor(order, lcp) >= 200).sum() == 3 * (many - 1)
+    assert len(calls) < 20
