@@ -177,3 +177,15 @@ def test_profile_orders_by_id_and_breaks_ties_by_the_cells(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert got == {"ResponseId": (43, "1 | 2 | 2 | 2 | 3"), "V": (23, "a | b | v2")}
+
+
+def test_packed_files_are_read_like_plain_ones(spark, responses, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv, "PACKED_ROWS", 2)
+    df = responses(*[{"response_id": i, "survey_year": 2023, "remote_work": f'line "{i}"\nline, two', "dev_type": "a;b"} for i in range(9)]).coalesce(1)
+    found = {}
+    for packed in (False, True):
+        folder = str(tmp_path / str(packed))
+        csv.write_year_files(df, folder, years=(2023,), packed=packed)
+        found[packed] = sorted(map(str, csv.ingest(spark, folder, years=(2023,)).collect()))
+        assert len(csv.headers(spark, csv.year_path(folder, 2023))) == (5 if packed else 1)
+    assert found[True] == found[False] and len(found[True]) == 9
