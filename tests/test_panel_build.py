@@ -3,7 +3,7 @@
 import datetime
 
 from cohortlens.plans.trends import language_usage
-from cohortlens.sources import store
+from cohortlens.sources import store, survey_csv
 from cohortlens.sources.panel import survey_panel
 
 
@@ -61,3 +61,35 @@ def test_bitmaps_are_built_where_their_ids_meet(spark, responses):
     plan = planned(spark, usage.select("*"))
     assert "Exchange hashpartitioning(survey_year" in plan[plan.index("partial_bitmap_construct_agg"):]
     assert {(r.language, r.kind) for r in usage.collect()} == {("Go", "used"), ("Rust", "used"), ("Ada", "wanted")}
+
+
+def test_bitmaps_are_not_shuffled_and_rows_without_an_id_name_their_languages(spark, responses):
+    rows = responses(*[{"response_id": i, "lang_worked": "Go"} for i in (1, 2, 40_000)],
+                     *[{"response_id": None, "lang_worked": "Go; Ada", "lang_want": "Go"} for _ in range(3)])
+    usage = language_usage(rows)
+    plan = planned(spark, usage.where("bucket is not null").select("*"))
+    known = plan[:plan.index("\n:- ")] + plan[plan.index("\n:- "):plan.index("\n+- ")] if "Union" in plan else plan
+    assert known.count("Exchange") == 1
+    found = {(r.language, r.kind, r.bucket): sum(b.bit_count() for b in r.bits) for r in usage.collect()}
+    assert found == {("Go", "used", 1): 2, ("Go", "used", 2): 1, ("Go", "used", None): 0, ("Ada", "used", None): 0,
+                     ("Go", "wanted", None): 0}
+    assert usage.count() == len(found)
+
+
+def test_yearly_files_need_the_panel_only(spark, tmp_path):
+    """The long tables are written when first asked for; the files are packed and read back whole."""
+    sf = star(spark, tmp_path / "star")
+    files = survey_csv.survey_files(spark, sf)
+    handle = store.store(spark, sf)
+
+    def written():
+        return {n for n in ("panel", *store.LONG_TABLES) if store.versions._names(spark, f"{handle.root}/{n}")}
+
+    assert written() == {"panel"}
+    parts = [f for y in survey_csv.YEARS for f in survey_csv.headers(spark, survey_csv.year_path(files, y))]
+    assert parts and all(f.endswith(".csv.gz") for f in parts)
+    shown = ["response_id", "survey_year", "country", "lang_worked"]
+    assert sorted(map(str, survey_csv.ingest(spark, files).select(shown).collect())) == sorted(
+        map(str, handle.responses().select(shown).collect()))
+    assert handle.lang_exploded().count() and written() == {"panel", "lang_exploded"}
+    assert handle.lang_usage().count() and handle.db_exploded().count() and written() == {"panel", *store.LONG_TABLES}
