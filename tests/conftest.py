@@ -12,6 +12,7 @@ from cohortlens.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(cores="*", shuffle_partitions=8, app="cohortlens-tests")
+    s.conf.set("spark.sql.maxMetadataStringLength", "1000")  # plans show paths whole, however long pytest's folder is
     yield s
     s.stop()
 
